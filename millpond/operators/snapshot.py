@@ -3,7 +3,6 @@
 Under the table root::
 
     data/<commit>/part-*.parquet        immutable rows
-    manifests/<commit>/                 one row per live file of a version
     changes/<commit>/                   change rows, only while the feed is on
     commits/v=<n>/                      one row per version, written last
 
@@ -11,8 +10,10 @@ A version exists once its ``commits`` row exists; everything else an
 interrupted operation leaves behind is never read and is found by ``vacuum``.
 One writer at a time: a second commit of the same number fails.
 
-The driver handles file names only (one per data file, as Spark's own file
-index does); rows stay in Spark jobs.
+A commit row lists the live data folders, and file names only for folders of
+which some files were rewritten later. So its size follows the number of
+loads and rewritten files, not the number of rows, and the driver never
+handles more than file names.
 """
 
 from __future__ import annotations
@@ -33,10 +34,10 @@ from millpond.workspace import staged
 
 COMMIT_SCHEMA = (
     "version long, timestamp timestamp, operation string, parameters map<string,string>, "
-    "schema string, manifest string, changes string, "
+    "schema string, files array<struct<folder: string, names: array<string>>>, changes string, "
     "properties map<string,string>, constraints map<string,string>"
 )
-MANIFEST_SCHEMA = "path string, size long, siblings int"
+FILES_TYPE = "array<struct<folder: string, names: array<string>>>"
 
 FEED_PROPERTY = "enableChangeDataFeed"
 RETENTION_PROPERTY = "deletedFileRetentionHours"
@@ -44,6 +45,10 @@ DEFAULT_RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
+# data folder -> names of its live files, None for all of them
+Files = dict[str, list[str] | None]
+
+
 class SchemaMismatch(ValueError):
     """The rows to write do not fit the table's columns."""
 
@@ -68,7 +73,6 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._folder_sizes: dict[str, int] = {}  # number of files each data folder was written with
 
     # ---- creation -----------------------------------------------------
 
@@ -78,7 +82,7 @@ class SnapshotTable:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         table = cls(spark, root)
-        table._publish(0, "CREATE TABLE", {}, schema, None, properties=properties or {}, at=at)
+        table._publish(0, "CREATE TABLE", {}, schema, {}, properties=properties or {}, at=at)
         return table
 
     @classmethod
@@ -90,13 +94,11 @@ class SnapshotTable:
         at = at or _now()
         properties = properties or {}
         files = table._write_rows(df, commit_id)
-        table._write_manifest(commit_id, files)
         changes = None
         if properties.get(FEED_PROPERTY) == "true":
-            rows = table._scan([f["path"] for f in files], schema)
-            changes = table._write_changes(commit_id, 0, at, _tagged(rows, "insert"))
+            changes = table._write_changes(commit_id, 0, at, _tagged(table._scan(files, schema), "insert"))
         table._publish(
-            0, "CREATE TABLE AS SELECT", {}, schema, commit_id,
+            0, "CREATE TABLE AS SELECT", {}, schema, files,
             changes=changes, properties=properties, at=at,
         )
         return table
@@ -128,13 +130,13 @@ class SnapshotTable:
     def read(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:
         """Rows of the latest version, of a numbered one, or of the one valid at a time."""
         at = self.commit(version, timestamp)
-        return self._scan(self._files(at), _schema_of(at))
+        return self._scan(_files_of(at), _schema_of(at))
 
     def detail(self) -> DataFrame:
         """Location, number of files, bytes and properties of the latest version."""
         now = self.commit()
         return (
-            self._manifest(now)
+            self._listing(self._paths(_files_of(now)))
             .agg(F.count("*").alias("num_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("size_in_bytes"))
             .select(
                 F.lit("parquet").alias("format"),
@@ -173,20 +175,30 @@ class SnapshotTable:
             F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ])
-        return self._add_files(now, rows, "APPEND", {"mergeSchema": str(merge_schema).lower()}, schema, at)
+        images = (lambda written: _tagged(written, "insert")) if self._feed_on(now) else None
+        params = {"mergeSchema": str(merge_schema).lower()}
+        return self._replace_files(now, _files_of(now), rows, images, "APPEND", params, at, schema)
 
     def overwrite(self, df: DataFrame, at=None) -> int:
         """Replace all rows (and columns); earlier versions stay readable."""
         now = self.commit()
         schema = _nullable(df.schema)
-        return self._replace_files(now, self._files(now), df, None, "WRITE", {"mode": "overwrite"}, at, schema)
+        gone = self._scan(_files_of(now), _schema_of(now))
+
+        def images(written):
+            added = _tagged(written, "insert")
+            return _tagged(gone, "delete").unionByName(added, allowMissingColumns=True)
+
+        return self._replace_files(
+            now, {}, df, images if self._feed_on(now) else None, "WRITE", {"mode": "overwrite"}, at, schema
+        )
 
     def update(self, condition: Column | str, assign: dict[str, Column | str], at=None) -> int:
         """SET columns where the condition is true, rewriting only the files that hold such rows."""
         now = self.commit()
         schema = _schema_of(now)
         hit = F.coalesce(as_column(condition), F.lit(False))
-        touched = self._files_with(now, hit)
+        touched, untouched = self._divide(now, hit)
         if not touched:
             return now.version
         rows = self._scan(touched, schema)
@@ -197,7 +209,7 @@ class SnapshotTable:
         params = {"predicate": str(condition)}
         if not self._feed_on(now):
             kept = rows.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) for c in rows.columns])
-            return self._replace_files(now, touched, kept, None, "UPDATE", params, at)
+            return self._replace_files(now, untouched, kept, None, "UPDATE", params, at)
 
         def image(kind, values):
             return F.struct(F.lit(kind).alias("_change_type"), *[values[c].alias(c) for c in rows.columns])
@@ -208,20 +220,20 @@ class SnapshotTable:
         ).select("r.*")
         # the table takes its new values from the written change rows, so both always agree
         return self._replace_files(
-            now, touched, rows.where(~hit), images, "UPDATE", params, at, take_back="update_postimage"
+            now, untouched, rows.where(~hit), images, "UPDATE", params, at, take_back="update_postimage"
         )
 
     def delete(self, condition: Column | str, at=None) -> int:
         """Remove rows where the condition is true; NULL keeps the row."""
         now = self.commit()
         hit = F.coalesce(as_column(condition), F.lit(False))
-        touched = self._files_with(now, hit)
+        touched, untouched = self._divide(now, hit)
         if not touched:
             return now.version
         rows = self._scan(touched, _schema_of(now))
         gone = _tagged(rows.where(hit), "delete") if self._feed_on(now) else None
         return self._replace_files(
-            now, touched, rows.where(~hit), gone, "DELETE", {"predicate": str(condition)}, at
+            now, untouched, rows.where(~hit), gone, "DELETE", {"predicate": str(condition)}, at
         )
 
     def merge(self, source: DataFrame, on: list[str], matched=(), not_matched=(), at=None) -> int:
@@ -234,14 +246,14 @@ class SnapshotTable:
         columns = [f.name for f in schema.fields]
         types = {f.name: f.dataType for f in schema.fields}
         source = staged(source, "merge-source")
-        live = self._files(now)
-        touched: list[str] = []
+        live = _files_of(now)
+        touched, untouched = {}, live
         kept = images = None
         if matched and live:
             target = self._identified(live, schema)
             M.refuse_ambiguous(target, source, on, matched, ["_file", "_position"])
             hits = M.acting_pairs(target, source, on, matched, "inner")
-            touched = [r[0] for r in hits.select("t._file").distinct().collect()]
+            touched, untouched = self._split_off(live, hits.select("t._file"))
         if touched:
             actions = M.action_frame(self._scan(touched, schema), source, on, matched, columns, types)
             if self._feed_on(now):
@@ -257,7 +269,7 @@ class SnapshotTable:
             kept = fresh if kept is None else kept.unionByName(fresh)
         if kept is None:
             return now.version
-        return self._replace_files(now, touched, kept, images, "MERGE", {"on": ",".join(on)}, at)
+        return self._replace_files(now, untouched, kept, images, "MERGE", {"on": ",".join(on)}, at)
 
     # ---- schema, rules, properties -------------------------------------
 
@@ -303,7 +315,7 @@ class SnapshotTable:
             changes = self._write_changes(self._commit_id(now.version + 1), now.version + 1, at, rows)
         return self._republish(
             now, "RESTORE", {"version": version},
-            schema=_schema_of(old), manifest=old.manifest, changes=changes, at=at,
+            schema=_schema_of(old), files=_files_of(old), changes=changes, at=at,
         )
 
     def clone(self, root: str, version: int | None = None, at=None) -> SnapshotTable:
@@ -317,10 +329,10 @@ class SnapshotTable:
         needs to read them.
         """
         a, b = self.commit(left), self.commit(right)
-        files_a, files_b = set(self._files(a)), set(self._files(b))
+        files_a, files_b = _files_of(a), _files_of(b)
         return (
-            self._scan(sorted(files_a - files_b), _schema_of(a)),
-            self._scan(sorted(files_b - files_a), _schema_of(b)),
+            self._scan(self._minus(files_a, files_b), _schema_of(a)),
+            self._scan(self._minus(files_b, files_a), _schema_of(b)),
         )
 
     # ---- layout ---------------------------------------------------------
@@ -333,27 +345,26 @@ class SnapshotTable:
         Without it only files below the target are packed together.
         """
         now = self.commit()
-        sizes = {r.path: r.size for r in self._manifest(now).collect()}
+        live, schema = _files_of(now), _schema_of(now)
+        stored = self._listing(self._paths(live))
         if cluster_by is None:
-            sizes = {p: s for p, s in sizes.items() if s < target_bytes}
-            if len(sizes) < 2:
-                return now.version
-        if not sizes:
+            stored = stored.where(F.col("size") < target_bytes)
+        files, total = stored.agg(F.count("*"), F.sum("size")).first()
+        if files < (2 if cluster_by is None else 1):
             return now.version
-        parts = max(1, math.ceil(sum(sizes.values()) / target_bytes))
-        schema = _schema_of(now)
+        parts = max(1, math.ceil(total / target_bytes))
         if cluster_by is None:
-            rows = self._scan(sorted(sizes), schema).repartition(parts)
+            packed, others = self._split_off(live, stored.select("path"))
+            rows = self._scan(packed, schema).repartition(parts)
         else:
+            others = {}
             rows = (
-                self._identified(sorted(sizes), schema)
+                self._identified(live, schema)
                 .repartitionByRange(parts, F.col(cluster_by), F.xxhash64("_file", "_position"))
                 .sortWithinPartitions(cluster_by)
                 .select(*schema.names)
             )
-        return self._replace_files(
-            now, list(sizes), rows, None, "OPTIMIZE", {"clusterBy": cluster_by or ""}, at, feed=False
-        )
+        return self._replace_files(now, others, rows, None, "OPTIMIZE", {"clusterBy": cluster_by or ""}, at)
 
     def vacuum_candidates(self, retain_hours: float | None = None) -> DataFrame:
         """Data files that no version inside the retention window refers to."""
@@ -364,17 +375,21 @@ class SnapshotTable:
         commits = self.history().withColumn("recent", F.col("timestamp") >= cut)
         # the version valid when the window opens is still readable inside it
         opening = commits.where(~F.col("recent")).agg(F.max("version")).first()[0]
-        kept = [
-            r.manifest
-            for r in commits.where(F.col("recent") | (F.col("version") == F.lit(opening)))
-            .select("manifest").distinct().collect()
-            if r.manifest
-        ]
-        listing = self._listing("data").where(F.col("modificationTime") < cut)
-        if not kept:
-            return listing
-        live = self.spark.read.schema(MANIFEST_SCHEMA).parquet(*[f"{self.root}/manifests/{m}" for m in kept])
-        return listing.join(live.select("path").distinct(), "path", "left_anti")
+        kept = commits.where(F.col("recent") | (F.col("version") == F.lit(opening))).select(
+            F.explode("files").alias("f")
+        )
+        whole = kept.where("f.names IS NULL").select("f.folder").distinct()
+        single = kept.select("f.folder", F.explode("f.names").alias("name")).distinct()
+        return (
+            self._listing([f"{self.root}/data"])
+            .where(F.col("modificationTime") < cut)
+            .withColumns({
+                "folder": F.substring_index("path", "/", 1), "name": F.substring_index("path", "/", -1)
+            })
+            .join(whole, "folder", "left_anti")
+            .join(single, ["folder", "name"], "left_anti")
+            .drop("folder", "name")
+        )
 
     def vacuum(self, retain_hours: float | None = None, dry_run: bool = False, force: bool = False) -> DataFrame:
         """Delete unreferenced data files in parallel tasks; ``dry_run`` only lists them.
@@ -426,55 +441,81 @@ class SnapshotTable:
     def _feed_on(self, commit: Row) -> bool:
         return commit.properties.get(FEED_PROPERTY) == "true"
 
-    def _manifest(self, commit: Row) -> DataFrame:
-        if commit.manifest is None:
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/manifests/{commit.manifest}")
-
-    def _files(self, commit: Row) -> list[str]:
-        rows = self._manifest(commit).collect() if commit.manifest else []
-        for row in rows:
-            self._folder_sizes[row.path.split("/")[0]] = row.siblings
-        return [r.path for r in rows]
-
-    def _scan(self, names: list[str], schema: T.StructType) -> DataFrame:
-        """Read the named files; a folder whose files are all named is read as a folder."""
-        if not names:
-            return self.spark.createDataFrame([], _nullable(schema))
-        by_folder = defaultdict(list)
-        for name in names:
-            by_folder[name.split("/")[0]].append(name)
+    def _paths(self, files: Files) -> list[str]:
+        """Whole folders as folders, others file by file."""
         paths = []
-        for folder, members in by_folder.items():
-            paths += [folder] if self._folder_sizes.get(folder) == len(members) else members
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{p}" for p in paths])
+        for folder, names in files.items():
+            paths += [folder] if names is None else [f"{folder}/{n}" for n in names]
+        return [f"{self.root}/data/{p}" for p in paths]
+
+    def _names(self, folder: str, names: list[str] | None) -> set[str]:
+        """File names of a folder, listed by Spark if the commit does not spell them out."""
+        if names is not None:
+            return set(names)
+        found = self.spark.read.schema("_ int").parquet(f"{self.root}/data/{folder}").inputFiles()
+        return {path.rsplit("/", 1)[1] for path in found}
+
+    def _minus(self, files: Files, other: Files) -> Files:
+        """Files of the first that the second does not hold."""
+        left: Files = {}
+        for folder, names in files.items():
+            if folder not in other:
+                left[folder] = names
+            elif names != other[folder] and other[folder] is not None:
+                rest = self._names(folder, names) - set(other[folder])
+                if rest:
+                    left[folder] = sorted(rest)
+        return left
+
+    def _scan(self, files: Files, schema: T.StructType) -> DataFrame:
+        if not files:
+            return self.spark.createDataFrame([], _nullable(schema))
+        return self.spark.read.schema(schema).parquet(*self._paths(files))
 
-    def _identified(self, names, schema) -> DataFrame:
+    def _identified(self, files: Files, schema) -> DataFrame:
         """Rows with the file and the position they come from."""
-        return self._scan(names, schema).select(
+        return self._scan(files, schema).select(
             "*",
             F.regexp_extract("_metadata.file_path", "/data/([^/]+/[^/]+)$", 1).alias("_file"),
             F.col("_metadata.row_index").alias("_position"),
         )
 
-    def _files_with(self, commit: Row, hit: Column) -> list[str]:
-        names = self._files(commit)
-        if not names:
-            return []
-        found = (
-            self._scan(names, _schema_of(commit))
-            .where(hit)
-            .select(F.regexp_extract("_metadata.file_path", "/data/([^/]+/[^/]+)$", 1).alias("path"))
-            .distinct()
+    def _divide(self, commit: Row, hit: Column) -> tuple[Files, Files]:
+        """Live files with a row to change, and the others."""
+        files = _files_of(commit)
+        if not files:
+            return {}, {}
+        rows = self._scan(files, _schema_of(commit)).where(hit)
+        return self._split_off(
+            files, rows.select(F.regexp_extract("_metadata.file_path", "/data/([^/]+/[^/]+)$", 1))
         )
-        return [r.path for r in found.collect()]
 
-    def _listing(self, folder: str) -> DataFrame:
+    def _split_off(self, files: Files, paths: DataFrame) -> tuple[Files, Files]:
+        """Divide files into those whose ``folder/name`` is in the one column of ``paths``, and the others."""
+        by_folder = defaultdict(set)
+        for row in paths.distinct().collect():
+            folder, name = row[0].split("/")
+            by_folder[folder].add(name)
+        inside: Files = {}
+        outside: Files = dict(files)
+        for folder, chosen in by_folder.items():
+            rest = self._names(folder, files[folder]) - chosen
+            inside[folder] = sorted(chosen) if rest else files[folder]
+            if rest:
+                outside[folder] = sorted(rest)
+            else:
+                del outside[folder]
+        return inside, outside
+
+    def _listing(self, paths: list[str]) -> DataFrame:
+        """``folder/name``, size and time of the Parquet files under the paths, unread."""
+        if not paths:
+            return self.spark.createDataFrame([], "path string, size long, modificationTime timestamp")
         return (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
-            .load(f"{self.root}/{folder}")
+            .load(paths)
             .select(
                 F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("path"),
                 F.col("length").alias("size"),
@@ -482,18 +523,9 @@ class SnapshotTable:
             )
         )
 
-    def _write_rows(self, df: DataFrame, commit_id: str) -> list[dict]:
+    def _write_rows(self, df: DataFrame, commit_id: str) -> Files:
         df.write.parquet(f"{self.root}/data/{commit_id}")
-        rows = self._listing(f"data/{commit_id}").select("path", "size").collect()
-        self._folder_sizes[commit_id] = len(rows)
-        return [{"path": r.path, "size": r.size, "siblings": len(rows)} for r in rows]
-
-    def _write_manifest(self, commit_id: str, files: list[dict]) -> None:
-        (
-            self.spark.createDataFrame(files, MANIFEST_SCHEMA)
-            .coalesce(1)
-            .write.parquet(f"{self.root}/manifests/{commit_id}")
-        )
+        return {commit_id: None}
 
     def _write_changes(self, commit_id: str, version: int, at: str, rows: DataFrame) -> str:
         rows.withColumn("_commit_version", F.lit(version).cast("long")).withColumn(
@@ -514,15 +546,10 @@ class SnapshotTable:
         if found:
             raise ConstraintViolation(f"a row breaks {found[0].rule}")
 
-    def _add_files(self, now: Row, rows: DataFrame, operation, params, schema, at) -> int:
-        images = (lambda written: _tagged(written, "insert")) if self._feed_on(now) else None
-        return self._replace_files(now, [], rows, images, operation, params, at, schema)
-
     def _replace_files(
-        self, now: Row, drop, rows, images, operation, params, at,
-        schema=None, take_back: str | None = None, feed: bool = True,
+        self, now: Row, keep: Files, rows, images, operation, params, at, schema=None, take_back: str | None = None
     ) -> int:
-        """Write rows, check them, then list old files minus ``drop`` plus the new ones as a version.
+        """Write rows, check them, then publish them with the files to keep as the next version.
 
         ``images`` are the change rows, or a function from the written rows to
         them. ``take_back`` names the change type whose rows belong in the table.
@@ -537,19 +564,12 @@ class SnapshotTable:
             written = self.spark.read.schema(_feed_schema(schema)).parquet(f"{self.root}/changes/{commit_id}")
             rows = rows.unionByName(written.where(F.col("_change_type") == take_back).select(*rows.columns))
         files = self._write_rows(rows, commit_id)
-        fresh = self._scan([f["path"] for f in files], _nullable(schema))
+        fresh = self._scan(files, _nullable(schema))
         self._enforce(fresh, now.constraints, schema)
         if callable(images):
             changes = self._write_changes(commit_id, version, at, images(fresh))
-        elif images is None and feed and operation == "WRITE" and self._feed_on(now):
-            gone = _tagged(self._scan(drop, _schema_of(now)), "delete")
-            rows = gone.unionByName(_tagged(fresh, "insert"), allowMissingColumns=True)
-            changes = self._write_changes(commit_id, version, at, rows)
-        dropped = set(drop)
-        kept = [r.asDict() for r in self._manifest(now).collect() if r.path not in dropped]
-        self._write_manifest(commit_id, kept + files)
         self._publish(
-            version, operation, params, schema, commit_id, changes=changes,
+            version, operation, params, schema, {**keep, **files}, changes=changes,
             properties=now.properties, constraints=now.constraints, at=at,
         )
         return version
@@ -557,34 +577,39 @@ class SnapshotTable:
     def _republish(self, now: Row, operation, params, at=None, **fields) -> int:
         """A version that changes only what the commit row says."""
         state = {
-            "schema": _schema_of(now), "manifest": now.manifest, "changes": None,
+            "schema": _schema_of(now), "files": _files_of(now), "changes": None,
             "properties": now.properties, "constraints": now.constraints, **fields,
         }
         self._publish(now.version + 1, operation, params, at=at, **state)
         return now.version + 1
 
     def _publish(
-        self, version, operation, params, schema, manifest,
+        self, version, operation, params, schema, files: Files,
         changes=None, properties=None, constraints=None, at=None,
     ) -> None:
+        listed = json.dumps([{"folder": k, "names": v} for k, v in files.items()])
         row = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"),
             F.lit(at or _now()).cast("timestamp").alias("timestamp"),
             F.lit(operation).alias("operation"),
             _string_map(params).alias("parameters"),
             F.lit(schema.json()).alias("schema"),
-            F.lit(manifest).cast("string").alias("manifest"),
+            F.from_json(F.lit(listed), FILES_TYPE).alias("files"),
             F.lit(changes).cast("string").alias("changes"),
             _string_map(properties or {}).alias("properties"),
             _string_map(constraints or {}).alias("constraints"),
         )
-        row.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/v={version}")
+        row.write.mode("error").parquet(f"{self.root}/commits/v={version}")
 
 
 def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
+def _files_of(commit: Row) -> Files:
+    return {f.folder: f.names for f in commit.files}
+
+
 def _schema_of(commit: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(commit.schema))
 
