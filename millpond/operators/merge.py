@@ -51,17 +51,14 @@ def first_clause(clauses) -> Column:
     return picked
 
 
-def keys_equal(on: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
-
-
 def acting_pairs(target: DataFrame, source: DataFrame, on, matched, how: str) -> DataFrame:
     """Join target rows (left) to the source rows that change them.
 
     The big side is on the left of an inner or left join, so adaptive
     execution may split a hot key's partition.
     """
-    fires = keys_equal(on) & first_clause(matched).isNotNull()
+    fires = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
+    fires &= first_clause(matched).isNotNull()
     return target.alias("t").join(source.alias("s"), fires, how)
 
 
@@ -104,15 +101,25 @@ def matched_changes(actions: DataFrame, columns) -> DataFrame:
     return changed.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def absent_rows(source: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
+    """Source rows whose key the target does not hold; a NULL key is never held.
+
+    The keys both sides hold are found first, with the target on the left: a
+    small source is then broadcast against it and the target's keys do not
+    shuffle, as they would in one anti join.
+    """
+    held = target.select(*on).join(source.select(*on), on, "left_semi").distinct()
+    return source.join(held, on, "left_anti")
+
+
 def insert_rows(target: DataFrame, source: DataFrame, on, not_matched, columns, types) -> DataFrame:
     """Source rows without a partner in the target, shaped by the first clause that holds.
 
     A NULL key never matches, so such rows are inserted, as MERGE does.
     """
-    source = source.alias("s")
     clause = first_clause(not_matched)
-    wanted = source.where(clause.isNotNull())
-    fresh = wanted.join(target.select(*on).alias("t"), keys_equal(on), "left_anti")
+    wanted = source.alias("s").where(clause.isNotNull()).select("s.*")
+    fresh = absent_rows(wanted, target, on).alias("s")
     out = []
     for name in columns:
         value = F.lit(None)

@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millpond.operators.merge import WhenMatched, WhenNotMatched
+from millpond.operators.merge import WhenMatched, WhenNotMatched, absent_rows
 from millpond.operators.snapshot import SnapshotTable
+from millpond.workspace import staged
 
 
 def open_history(df: DataFrame, valid_from: str) -> DataFrame:
@@ -29,8 +30,10 @@ def scd2_apply(dim: DataFrame, updates: DataFrame, key: str, tracked: list[str],
     """The whole dimension after ``updates`` (one row per key) take effect on a date.
 
     A key whose tracked columns differ is expired and gets a new current row;
-    a new key gets its first row. Only current rows join.
+    a new key gets its first row. Only current rows join. The updates are
+    written once, so that the planner knows whether they can be broadcast.
     """
+    updates = staged(updates, "scd-updates")
     since = F.lit(effective).cast("date")
     is_current = F.coalesce(F.col("is_current"), F.lit(False))
     current, past = dim.where(is_current), dim.where(~is_current)
@@ -49,7 +52,7 @@ def scd2_apply(dim: DataFrame, updates: DataFrame, key: str, tracked: list[str],
     moved = pairs.select(
         F.explode(F.when(changed, F.array(expired, opened)).otherwise(F.array(row()))).alias("r")
     ).select("r.*")
-    arrived = open_history(updates.join(current, key, "left_anti"), effective)
+    arrived = open_history(absent_rows(updates, current, [key]), effective)
     return past.unionByName(moved).unionByName(arrived, allowMissingColumns=True)
 
 
@@ -61,6 +64,7 @@ def scd2_merge(
     Each changed row goes in twice, once to expire the current row and once
     without a key, so that it cannot match and is inserted.
     """
+    updates = staged(updates, "scd-updates")
     dim = table.read().where("is_current").select(key, *tracked)
     pairs = updates.alias("u").join(
         dim.withColumn("_known", F.lit(True)).alias("d"), F.col(f"u.{key}") == F.col(f"d.{key}"), "left"

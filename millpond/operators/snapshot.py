@@ -156,8 +156,11 @@ class SnapshotTable:
 
     # ---- writes -------------------------------------------------------
 
-    def append(self, df: DataFrame, merge_schema: bool = False, at=None) -> int:
-        """Add rows. New columns are refused unless ``merge_schema`` widens the table."""
+    def append(self, df: DataFrame, merge_schema: bool = False, skip_empty: bool = False, at=None) -> int:
+        """Add rows. New columns are refused unless ``merge_schema`` widens the table.
+
+        With ``skip_empty`` an append without rows makes no version.
+        """
         now = self.commit()
         schema = _schema_of(now)
         have = {f.name: f.dataType for f in schema.fields}
@@ -177,7 +180,9 @@ class SnapshotTable:
         ])
         images = (lambda written: _tagged(written, "insert")) if self._feed_on(now) else None
         params = {"mergeSchema": str(merge_schema).lower()}
-        return self._replace_files(now, _files_of(now), rows, images, "APPEND", params, at, schema)
+        return self._replace_files(
+            now, _files_of(now), rows, images, "APPEND", params, at, schema, skip_empty=skip_empty
+        )
 
     def overwrite(self, df: DataFrame, at=None) -> int:
         """Replace all rows (and columns); earlier versions stay readable."""
@@ -547,7 +552,8 @@ class SnapshotTable:
             raise ConstraintViolation(f"a row breaks {found[0].rule}")
 
     def _replace_files(
-        self, now: Row, keep: Files, rows, images, operation, params, at, schema=None, take_back: str | None = None
+        self, now: Row, keep: Files, rows, images, operation, params, at,
+        schema=None, take_back: str | None = None, skip_empty: bool = False,
     ) -> int:
         """Write rows, check them, then publish them with the files to keep as the next version.
 
@@ -565,6 +571,8 @@ class SnapshotTable:
             rows = rows.unionByName(written.where(F.col("_change_type") == take_back).select(*rows.columns))
         files = self._write_rows(rows, commit_id)
         fresh = self._scan(files, _nullable(schema))
+        if skip_empty and fresh.isEmpty():
+            return now.version
         self._enforce(fresh, now.constraints, schema)
         if callable(images):
             changes = self._write_changes(commit_id, version, at, images(fresh))
@@ -588,7 +596,7 @@ class SnapshotTable:
         changes=None, properties=None, constraints=None, at=None,
     ) -> None:
         listed = json.dumps([{"folder": k, "names": v} for k, v in files.items()])
-        row = self.spark.range(1).select(
+        row = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("long").alias("version"),
             F.lit(at or _now()).cast("timestamp").alias("timestamp"),
             F.lit(operation).alias("operation"),

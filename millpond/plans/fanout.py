@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millpond.operators.joins import broadcast_checked
+from millpond.operators.quality import count_where
 from millpond.workspace import staged
 
 
@@ -21,12 +22,13 @@ def fanout(
     """Count bad rows, enrich the good ones and write one summary per key list.
 
     GROUPING SETS make all summaries in one pass with partial aggregation, so
-    the base is neither cached nor scanned again; bad rows are counted on the
-    way by an observation. Returns the written summaries and the bad count.
+    the base is not cached. The bad rows are counted by an aggregate of their
+    own, which stays exact when lost tasks run again. Returns the written
+    summaries and the bad count.
     """
-    seen = Observation()
     ok = F.coalesce(good, F.lit(False))
-    base = enrich(facts.observe(seen, F.count_if(~ok).alias("bad")).where(ok), lookup, on)
+    bad = count_where(facts, bad=~ok).first().bad
+    base = enrich(facts.where(ok), lookup, on)
     every = list(dict.fromkeys(k for ks in keys.values() for k in ks))
     summary = staged(
         base.groupingSets([[F.col(k) for k in ks] for ks in keys.values()], *[F.col(k) for k in every])
@@ -42,4 +44,4 @@ def fanout(
             f"{out_path}/{name}"
         )
         written[name] = facts.sparkSession.read.parquet(f"{out_path}/{name}")
-    return written, seen.get["bad"]
+    return written, bad
