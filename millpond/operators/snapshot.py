@@ -4,7 +4,7 @@ Under the table root::
 
     data/<commit>/part-*.parquet        immutable rows
     changes/<commit>/                   change rows, only while the feed is on
-    commits/v=<n>/                      one row per version, written last
+    commits/v=<n>/                      one JSON line per version, written last
 
 A version exists once its ``commits`` row exists; everything else an
 interrupted operation leaves behind is never read and is found by ``vacuum``.
@@ -24,6 +24,7 @@ import uuid
 from collections import defaultdict
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,6 @@ COMMIT_SCHEMA = (
     "schema string, files array<struct<folder: string, names: array<string>>>, changes string, "
     "properties map<string,string>, constraints map<string,string>"
 )
-FILES_TYPE = "array<struct<folder: string, names: array<string>>>"
 
 FEED_PROPERTY = "enableChangeDataFeed"
 RETENTION_PROPERTY = "deletedFileRetentionHours"
@@ -58,9 +58,7 @@ class ConstraintViolation(ValueError):
 
 
 def _string_map(values: dict[str, str]) -> Column:
-    pairs = [F.lit(str(part)) for item in values.items() for part in item]
-    made = F.create_map(*pairs) if pairs else F.create_map()
-    return made.cast("map<string,string>")
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -73,6 +71,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._commits: dict[int, Row] = {}  # a written commit row never changes
 
     # ---- creation -----------------------------------------------------
 
@@ -107,22 +106,30 @@ class SnapshotTable:
 
     def history(self) -> DataFrame:
         """One row per version."""
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
+        rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits")
+        return rows.select([c for c in rows.columns if c != "v"])
 
     def commit(self, version: int | None = None, timestamp: str | None = None) -> Row:
         """The commit row of a version, of the last one up to a time, or the latest."""
-        rows = self.history()
-        if version is not None:
-            rows = rows.where(F.col("version") == version)
         if timestamp is not None:
-            rows = rows.where(F.col("timestamp") <= F.lit(timestamp).cast("timestamp"))
-        found = rows.orderBy(F.desc("version")).limit(1).collect()
-        if not found:
-            raise LookupError(f"no such version in {self.root}: {version if version is not None else timestamp}")
-        return found[0]
+            until = self.history().where(F.col("timestamp") <= F.lit(timestamp).cast("timestamp"))
+            version = until.agg(F.max("version")).first()[0]
+            if version is None:
+                raise LookupError(f"no version of {self.root} up to {timestamp}")
+        if version is None:
+            version = self.current_version()
+        if version not in self._commits:
+            try:
+                rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/v={version}")
+            except AnalysisException as missing:
+                raise LookupError(f"no version {version} of {self.root}") from missing
+            self._commits[version] = rows.first()
+        return self._commits[version]
 
     def current_version(self) -> int:
-        return self.commit().version
+        """The highest committed number, from the listing of the commits alone."""
+        files = self.spark.read.text(f"{self.root}/commits").inputFiles()
+        return max(int(path.rsplit("/v=", 1)[1].split("/")[0]) for path in files)
 
     def schema(self, version: int | None = None) -> T.StructType:
         return _schema_of(self.commit(version))
@@ -595,19 +602,20 @@ class SnapshotTable:
         self, version, operation, params, schema, files: Files,
         changes=None, properties=None, constraints=None, at=None,
     ) -> None:
-        listed = json.dumps([{"folder": k, "names": v} for k, v in files.items()])
-        row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.lit(at or _now()).cast("timestamp").alias("timestamp"),
-            F.lit(operation).alias("operation"),
-            _string_map(params).alias("parameters"),
-            F.lit(schema.json()).alias("schema"),
-            F.from_json(F.lit(listed), FILES_TYPE).alias("files"),
-            F.lit(changes).cast("string").alias("changes"),
-            _string_map(properties or {}).alias("properties"),
-            _string_map(constraints or {}).alias("constraints"),
-        )
-        row.write.mode("error").parquet(f"{self.root}/commits/v={version}")
+        state = {
+            "version": version,
+            "timestamp": at or _now(),
+            "operation": operation,
+            "parameters": {k: str(v) for k, v in params.items()},
+            "schema": schema.json(),
+            "files": [{"folder": k, "names": v} for k, v in files.items()],
+            "changes": changes,
+            "properties": {k: str(v) for k, v in (properties or {}).items()},
+            "constraints": constraints or {},
+        }
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(state)).alias("value"))
+        line.write.mode("error").text(f"{self.root}/commits/v={version}")
+        self._commits[version] = Row(**{**state, "files": [Row(**entry) for entry in state["files"]]})
 
 
 def _now() -> str:

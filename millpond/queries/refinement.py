@@ -116,12 +116,12 @@ def silver_orders(spark, sf):
 
 @query("gold_revenue", _PARSED_SQL + """
     SELECT region, order_date, COUNT(order_id) AS order_count, ROUND(SUM(amount), 2) AS total_revenue,
-           ROUND(AVG(amount), 2) AS avg_order_value, MAX(amount) AS max_order_value
+           ROUND(AVG(amount), 9) AS avg_order_value, MAX(amount) AS max_order_value
     FROM silver WHERE status = 'completed' GROUP BY region, order_date""")
 def gold_revenue(spark, sf):
     return _layers(spark, sf).gold.read().select(
         "region", "order_date", "order_count", F.round("total_revenue", 2).alias("total_revenue"),
-        F.round("avg_order_value", 2).alias("avg_order_value"), "max_order_value",
+        F.round("avg_order_value", 9).alias("avg_order_value"), "max_order_value",
     )
 
 

@@ -81,16 +81,16 @@ def distinct_pairs(spark, sf):
 
 
 @query("group_having_df", """
-    SELECT c_nationkey, COUNT(*) AS headcount, ROUND(AVG(c_acctbal), 2) AS avg_balance,
+    SELECT c_nationkey, COUNT(*) AS headcount, ROUND(AVG(c_acctbal), 6) AS avg_balance,
            ROUND(SUM(c_acctbal), 2) AS total_balance
-    FROM customer GROUP BY c_nationkey HAVING ROUND(AVG(c_acctbal), 2) > 4500""")
+    FROM customer GROUP BY c_nationkey HAVING ROUND(AVG(c_acctbal), 6) > 4500""")
 def group_having_df(spark, sf):
     return (
         table(spark, sf, "customer")
         .groupBy("c_nationkey")
         .agg(
             F.count("*").alias("headcount"),
-            F.round(F.avg("c_acctbal"), 2).alias("avg_balance"),
+            F.round(F.avg("c_acctbal"), 6).alias("avg_balance"),
             F.round(F.sum("c_acctbal"), 2).alias("total_balance"),
         )
         .filter(F.col("avg_balance") > 4500)
@@ -98,12 +98,12 @@ def group_having_df(spark, sf):
 
 
 @query("group_having_sql", """
-    SELECT p_brand, COUNT(*) AS parts, ROUND(AVG(p_retailprice), 2) AS avg_price, SUM(p_size)::BIGINT AS total_size
+    SELECT p_brand, COUNT(*) AS parts, ROUND(AVG(p_retailprice), 5) AS avg_price, SUM(p_size)::BIGINT AS total_size
     FROM part GROUP BY p_brand HAVING COUNT(*) > 75 ORDER BY p_brand""")
 def group_having_sql(spark, sf):
     view(spark, sf, "part")
     return spark.sql("""
-        SELECT p_brand, COUNT(*) AS parts, ROUND(AVG(p_retailprice), 2) AS avg_price, SUM(p_size) AS total_size
+        SELECT p_brand, COUNT(*) AS parts, ROUND(AVG(p_retailprice), 5) AS avg_price, SUM(p_size) AS total_size
         FROM part GROUP BY p_brand HAVING parts > 75 ORDER BY p_brand""")
 
 

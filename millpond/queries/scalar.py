@@ -10,7 +10,7 @@ from millpond.sources.generated import DEPARTMENTS, REGIONS, STATUSES, synthetic
 
 # fixed values: the conversion rate and the salary bands
 GBP_RATE = 0.79
-SENIOR_FROM, MID_FROM = 100_000, 75_000
+SENIOR_FROM, MID_FROM = 100_000, 80_000
 
 # fixed values: department to division
 DIVISIONS = {
@@ -42,7 +42,7 @@ def derived_column(spark, sf):
 
 @query("case_band", """
     SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice >= 100000 THEN 'Senior'
-        WHEN o_totalprice >= 75000 THEN 'Mid' ELSE 'Junior' END AS band FROM orders""")
+        WHEN o_totalprice >= 80000 THEN 'Mid' ELSE 'Junior' END AS band FROM orders""")
 def case_band(spark, sf):
     bands = [(SENIOR_FROM, "Senior"), (MID_FROM, "Mid")]
     return table(spark, sf, "orders").select(

@@ -20,7 +20,7 @@ def stream_changes(table: SnapshotTable, log_path: str, checkpoint: str, startin
     commits = (
         table.spark.readStream.schema(COMMIT_SCHEMA)
         .option("maxFilesPerTrigger", COMMITS_PER_BATCH)
-        .parquet(f"{table.root}/commits")
+        .json(f"{table.root}/commits")
         .where(F.col("changes").isNotNull() & (F.col("version") >= starting_version))
         .select("changes")
     )

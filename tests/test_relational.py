@@ -70,7 +70,7 @@ def test_group_stats_of_null_group(spark):
 
 
 def test_bands(employees):
-    banded = employees.select("name", band(F.col("salary"), [(100000, "Senior"), (75001, "Mid")], "Junior").alias("b"))
+    banded = employees.select("name", band(F.col("salary"), [(100000, "Senior"), (80000, "Mid")], "Junior").alias("b"))
     by = {b: sorted(r.name for r in banded.collect() if r.b == b) for b in ("Senior", "Mid", "Junior")}
     assert by["Senior"] == ["Carol", "Grace"]
     assert by["Mid"] == ["Alice", "Eve", "Jack"]
