@@ -163,10 +163,13 @@ class SnapshotTable:
 
     # ---- writes -------------------------------------------------------
 
-    def append(self, df: DataFrame, merge_schema: bool = False, skip_empty: bool = False, at=None) -> int:
+    def append(
+        self, df: DataFrame, merge_schema: bool = False, skip_empty: bool = False, properties=None, at=None
+    ) -> int:
         """Add rows. New columns are refused unless ``merge_schema`` widens the table.
 
         With ``skip_empty`` an append without rows makes no version.
+        ``properties`` are set by the same commit.
         """
         now = self.commit()
         schema = _schema_of(now)
@@ -188,7 +191,7 @@ class SnapshotTable:
         images = (lambda written: _tagged(written, "insert")) if self._feed_on(now) else None
         params = {"mergeSchema": str(merge_schema).lower()}
         return self._replace_files(
-            now, _files_of(now), rows, images, "APPEND", params, at, schema, skip_empty=skip_empty
+            now, _files_of(now), rows, images, "APPEND", params, at, schema, skip_empty=skip_empty, properties=properties
         )
 
     def overwrite(self, df: DataFrame, at=None) -> int:
@@ -248,7 +251,9 @@ class SnapshotTable:
             now, untouched, rows.where(~hit), gone, "DELETE", {"predicate": str(condition)}, at
         )
 
-    def merge(self, source: DataFrame, on: list[str], matched=(), not_matched=(), at=None) -> int:
+    def merge(
+        self, source: DataFrame, on: list[str], matched=(), not_matched=(), properties=None, at=None
+    ) -> int:
         """MERGE INTO: first matching clause per row, see :mod:`millpond.operators.merge`.
 
         Only files with a row to change are rewritten; inserts become new files.
@@ -281,7 +286,9 @@ class SnapshotTable:
             kept = fresh if kept is None else kept.unionByName(fresh)
         if kept is None:
             return now.version
-        return self._replace_files(now, untouched, kept, images, "MERGE", {"on": ",".join(on)}, at)
+        return self._replace_files(
+            now, untouched, kept, images, "MERGE", {"on": ",".join(on)}, at, properties=properties
+        )
 
     # ---- schema, rules, properties -------------------------------------
 
@@ -334,6 +341,21 @@ class SnapshotTable:
         """A new, independent table filled from one version of this one."""
         return SnapshotTable.write(self.spark, root, self.read(version), at=at)
 
+    def appended_rows(self, after: int, until: int) -> DataFrame:
+        """Rows that appends (or the first write) brought in versions ``after`` < v <= ``until``.
+
+        Version 0 counts when ``after`` is 0, so that a first run starts with everything.
+        """
+        first = 0 if after == 0 else after + 1
+        loads = self.history().where(
+            F.col("version").between(first, until) & F.col("operation").isin("APPEND", "CREATE TABLE AS SELECT")
+        )
+        folders: Files = {}
+        for row in loads.select("version").collect():
+            known = _files_of(self.commit(row.version - 1)) if row.version else {}
+            folders |= {f: None for f in _files_of(self.commit(row.version)) if f not in known}
+        return self._scan(folders, self.schema(until))
+
     def differing_rows(self, left: int, right: int) -> tuple[DataFrame, DataFrame]:
         """Rows of the files that only one of two versions holds.
 
@@ -560,7 +582,7 @@ class SnapshotTable:
 
     def _replace_files(
         self, now: Row, keep: Files, rows, images, operation, params, at,
-        schema=None, take_back: str | None = None, skip_empty: bool = False,
+        schema=None, take_back: str | None = None, skip_empty: bool = False, properties=None,
     ) -> int:
         """Write rows, check them, then publish them with the files to keep as the next version.
 
@@ -585,7 +607,7 @@ class SnapshotTable:
             changes = self._write_changes(commit_id, version, at, images(fresh))
         self._publish(
             version, operation, params, schema, {**keep, **files}, changes=changes,
-            properties=now.properties, constraints=now.constraints, at=at,
+            properties={**now.properties, **(properties or {})}, constraints=now.constraints, at=at,
         )
         return version
 

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.functions.scalars import json_field
 from millpond.operators.dedup import first_per_key
 from millpond.operators.merge import WhenNotMatched
 from millpond.operators.quality import split_valid
@@ -20,18 +19,22 @@ SILVER_SCHEMA = (
 )
 
 
+# payload fields and their types
+FIELDS = {
+    "order_id": "int", "customer_id": "string", "amount": "double",
+    "region": "string", "status": "string", "order_date": "date",
+}
+
+
 def parse_bronze(bronze: DataFrame) -> DataFrame:
-    """Typed order columns from the raw payload; fields that do not parse are NULL."""
-    payload = F.col("raw_payload")
-    return bronze.select(
-        json_field(payload, "$.order_id", "int").alias("order_id"),
-        json_field(payload, "$.customer_id").alias("customer_id"),
-        json_field(payload, "$.amount", "double").alias("amount"),
-        json_field(payload, "$.region").alias("region"),
-        json_field(payload, "$.status").alias("status"),
-        json_field(payload, "$.order_date", "date").alias("order_date"),
-        "ingestion_timestamp",
-        "source_file",
+    """Typed order columns from the raw payload; fields that do not parse are NULL.
+
+    ``json_tuple`` reads each payload once for all fields, and later filters
+    on the fields do not read it again.
+    """
+    texts = F.json_tuple("raw_payload", *FIELDS).alias(*FIELDS)
+    return bronze.select(texts, "ingestion_timestamp", "source_file").withColumns(
+        {name: F.col(name).try_cast(kind) for name, kind in FIELDS.items() if kind != "string"}
     )
 
 
@@ -55,6 +58,9 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
     )
 
 
+SEEN = "bronzeVersion"
+
+
 @dataclass(frozen=True)
 class Layers:
     bronze: SnapshotTable
@@ -77,10 +83,23 @@ def open_layers(spark: SparkSession, root: str) -> Layers:
     )
 
 
+def _unseen(bronze: SnapshotTable, layer: SnapshotTable) -> tuple[DataFrame, dict[str, str]]:
+    """Parsed bronze rows appended since the layer last took some, and the mark to set with them."""
+    seen, now = int(layer.commit().properties.get(SEEN, 0)), bronze.current_version()
+    return parse_bronze(bronze.appended_rows(seen, now)), {SEEN: str(now)}
+
+
 def refresh(layers: Layers) -> None:
-    """Bring silver, quarantine and gold up to date with bronze."""
-    valid, invalid = split_orders(parse_bronze(layers.bronze.read()))
-    layers.quarantine.overwrite(invalid)
+    """Bring silver, quarantine and gold up to date with bronze, parsing only new bronze rows.
+
+    Each layer keeps in the same commit how far it has read, so a refresh
+    that breaks off is completed by the next one without repeated rows.
+    """
+    parsed, mark = _unseen(layers.bronze, layers.quarantine)
+    _, invalid = split_orders(parsed)
+    layers.quarantine.append(invalid, properties=mark)
+    parsed, mark = _unseen(layers.bronze, layers.silver)
+    valid, _ = split_orders(parsed)
     orders = first_per_key(valid, ["order_id"], ["ingestion_timestamp", "source_file"])
-    layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()])
+    layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()], properties=mark)
     layers.gold.overwrite(daily_revenue(layers.silver.read()))

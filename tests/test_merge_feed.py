@@ -327,6 +327,8 @@ def test_layers(spark, root):
             F.lit(f"orders_{day}.json").alias("source_file"), "raw_payload",
         )
         layers.bronze.append(batch)
+        if day == "2024-01-15":
+            refresh(layers)
     refresh(layers)
     refresh(layers)
     assert layers.bronze.read().count() == 8
