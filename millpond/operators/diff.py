@@ -8,43 +8,53 @@ from pyspark.sql import functions as F
 from millpond.operators.snapshot import SnapshotTable
 
 
+def _paired(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key with both sides as structs, NULL where a side lacks the key.
+
+    One grouping over both sides, combined before the shuffle; a key held
+    twice on one side is an error rather than a product of pairs.
+    """
+    sides = old.select(key, F.lit(0).alias("_side"), F.struct(*columns).alias("_row")).unionByName(
+        new.select(key, F.lit(1).alias("_side"), F.struct(*columns).alias("_row"))
+    )
+
+    def of(side):
+        return F.col("_side") == side
+
+    grouped = sides.groupBy(key).agg(
+        F.max(F.when(of(0), F.col("_row"))).alias("old"),
+        F.max(F.when(of(1), F.col("_row"))).alias("new"),
+        F.greatest(F.count_if(of(0)), F.count_if(of(1))).alias("_most"),
+    )
+    repeated = F.raise_error(F.lit(f"{key} is not unique")).cast("boolean")
+    return grouped.where(F.when(F.col("_most") > 1, repeated).otherwise(F.lit(True))).drop("_most")
+
+
 def changed_values(current: DataFrame, previous: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys in both whose value differs (``!=``, so NULL changes do not count)."""
+    """Keys in both whose value differs (``!=``, so a change from or to NULL does not count)."""
     return (
-        current.select(key, F.col(value).alias(f"current_{value}"))
-        .join(previous.select(key, F.col(value).alias(f"previous_{value}")), on=key)
-        .where(F.col(f"current_{value}") != F.col(f"previous_{value}"))
+        _paired(previous, current, key, [value])
+        .where(F.col(f"new.{value}") != F.col(f"old.{value}"))
+        .select(key, F.col(f"new.{value}").alias(f"current_{value}"), F.col(f"old.{value}").alias(f"previous_{value}"))
     )
 
 
 def row_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Added, removed and changed keys between ``left`` (old) and ``right`` (new), NULL-safe.
-
-    One grouping over both sides: a key held twice on one side is an error
-    rather than a product of pairs.
-    """
+    """Added, removed and changed keys between ``left`` (old) and ``right`` (new), NULL-safe."""
     columns = [c for c in right.columns if c != key and c in left.columns]
-    sides = left.select(key, F.lit("old").alias("_side"), F.struct(*columns).alias("_row")).unionByName(
-        right.select(key, F.lit("new").alias("_side"), F.struct(*columns).alias("_row"))
-    )
-    pick = lambda side: F.max(F.when(F.col("_side") == side, F.col("_row")))
-    count = lambda side: F.count_if(F.col("_side") == side)
-    both = sides.groupBy(key).agg(
-        pick("old").alias("_old"), pick("new").alias("_new"),
-        count("old").alias("_n_old"), count("new").alias("_n_new"),
-    )
     kind = (
-        F.when((F.col("_n_old") > 1) | (F.col("_n_new") > 1), F.raise_error(F.lit(f"{key} is not unique")))
-        .when(F.col("_n_old") == 0, "added")
-        .when(F.col("_n_new") == 0, "removed")
-        .when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
+        F.when(F.col("old").isNull(), "added")
+        .when(F.col("new").isNull(), "removed")
+        .when(~F.col("old").eqNullSafe(F.col("new")), "changed")
     )
     return (
-        both.select(
+        _paired(left, right, key, columns)
+        .select(
             key, kind.alias("diff"),
-            *[F.col(f"_old.{c}").alias(f"old_{c}") for c in columns],
-            *[F.col(f"_new.{c}").alias(f"new_{c}") for c in columns],
-        ).where("diff IS NOT NULL")
+            *[F.col(f"old.{c}").alias(f"old_{c}") for c in columns],
+            *[F.col(f"new.{c}").alias(f"new_{c}") for c in columns],
+        )
+        .where("diff IS NOT NULL")
     )
 
 

@@ -108,7 +108,7 @@ def absent_rows(source: DataFrame, target: DataFrame, on: list[str]) -> DataFram
     small source is then broadcast against it and the target's keys do not
     shuffle, as they would in one anti join.
     """
-    held = target.select(*on).join(source.select(*on), on, "left_semi").distinct()
+    held = target.select(*on).join(source.select(*on).distinct(), on, "left_semi").distinct()
     return source.join(held, on, "left_anti")
 
 

@@ -194,7 +194,7 @@ class SnapshotTable:
             now, _files_of(now), rows, images, "APPEND", params, at, schema, skip_empty=skip_empty, properties=properties
         )
 
-    def overwrite(self, df: DataFrame, at=None) -> int:
+    def overwrite(self, df: DataFrame, properties=None, at=None) -> int:
         """Replace all rows (and columns); earlier versions stay readable."""
         now = self.commit()
         schema = _nullable(df.schema)
@@ -205,7 +205,8 @@ class SnapshotTable:
             return _tagged(gone, "delete").unionByName(added, allowMissingColumns=True)
 
         return self._replace_files(
-            now, {}, df, images if self._feed_on(now) else None, "WRITE", {"mode": "overwrite"}, at, schema
+            now, {}, df, images if self._feed_on(now) else None, "WRITE", {"mode": "overwrite"}, at, schema,
+            properties=properties,
         )
 
     def update(self, condition: Column | str, assign: dict[str, Column | str], at=None) -> int:

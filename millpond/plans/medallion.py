@@ -58,7 +58,7 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
     )
 
 
-SEEN = "bronzeVersion"
+BRONZE_SEEN, SILVER_SEEN = "bronzeVersion", "silverVersion"
 
 
 @dataclass(frozen=True)
@@ -83,23 +83,30 @@ def open_layers(spark: SparkSession, root: str) -> Layers:
     )
 
 
-def _unseen(bronze: SnapshotTable, layer: SnapshotTable) -> tuple[DataFrame, dict[str, str]]:
-    """Parsed bronze rows appended since the layer last took some, and the mark to set with them."""
-    seen, now = int(layer.commit().properties.get(SEEN, 0)), bronze.current_version()
-    return parse_bronze(bronze.appended_rows(seen, now)), {SEEN: str(now)}
+def _mark(table: SnapshotTable, name: str) -> int:
+    return int(table.commit().properties.get(name, 0))
 
 
 def refresh(layers: Layers) -> None:
-    """Bring silver, quarantine and gold up to date with bronze, parsing only new bronze rows.
+    """Bring silver, quarantine and gold up to date, parsing only new bronze rows.
 
-    Each layer keeps in the same commit how far it has read, so a refresh
-    that breaks off is completed by the next one without repeated rows.
+    Each layer keeps, in the commit that changes it, how far it has read. So
+    a refresh that breaks off is completed by the next one without repeated
+    rows, and one without news writes nothing.
     """
-    parsed, mark = _unseen(layers.bronze, layers.quarantine)
-    _, invalid = split_orders(parsed)
-    layers.quarantine.append(invalid, properties=mark)
-    parsed, mark = _unseen(layers.bronze, layers.silver)
-    valid, _ = split_orders(parsed)
-    orders = first_per_key(valid, ["order_id"], ["ingestion_timestamp", "source_file"])
-    layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()], properties=mark)
-    layers.gold.overwrite(daily_revenue(layers.silver.read()))
+    arrived = layers.bronze.current_version()
+
+    def unseen(layer: SnapshotTable) -> DataFrame:
+        return parse_bronze(layers.bronze.appended_rows(_mark(layer, BRONZE_SEEN), arrived))
+
+    mark = {BRONZE_SEEN: str(arrived)}
+    if _mark(layers.quarantine, BRONZE_SEEN) < arrived:
+        _, invalid = split_orders(unseen(layers.quarantine))
+        layers.quarantine.append(invalid, properties=mark)
+    if _mark(layers.silver, BRONZE_SEEN) < arrived:
+        valid, _ = split_orders(unseen(layers.silver))
+        orders = first_per_key(valid, ["order_id"], ["ingestion_timestamp", "source_file"])
+        layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()], properties=mark)
+    refined = layers.silver.current_version()
+    if _mark(layers.gold, SILVER_SEEN) < refined:
+        layers.gold.overwrite(daily_revenue(layers.silver.read()), properties={SILVER_SEEN: str(refined)})
