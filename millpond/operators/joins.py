@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+FIXED_WIDTH = 16  # bytes allowed for a value that is not text
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` is counted to be within ``max_rows``.
+def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if ``df`` is measured to be within ``max_bytes``.
 
-    A larger side comes back without a hint and is shuffled.
+    One aggregate adds up the lengths of text values and a fixed width for all
+    others. A larger side comes back without a hint and is shuffled.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    width = F.lit(0)
+    for field in df.schema.fields:
+        if field.dataType.typeName() in ("string", "binary", "varchar", "char"):
+            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            width = width + F.octet_length(F.to_json(F.struct(F.col(field.name))))
+        else:
+            width = width + F.lit(FIXED_WIDTH)
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def point_in_time_join(

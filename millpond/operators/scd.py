@@ -65,9 +65,12 @@ def scd2_merge(
     without a key, so that it cannot match and is inserted.
     """
     updates = staged(updates, "scd-updates")
-    dim = table.read().where("is_current").select(key, *tracked)
+    # only rows of updated keys, found with the dimension on the left of the join
+    known = table.read().where("is_current").select(key, *tracked).join(
+        updates.select(key).distinct(), key, "left_semi"
+    )
     pairs = updates.alias("u").join(
-        dim.withColumn("_known", F.lit(True)).alias("d"), F.col(f"u.{key}") == F.col(f"d.{key}"), "left"
+        known.withColumn("_known", F.lit(True)).alias("d"), F.col(f"u.{key}") == F.col(f"d.{key}"), "left"
     )
     news = pairs.where(F.col("d._known").isNull() | _differs(tracked)).select(
         "u.*", F.col("d._known").isNotNull().alias("_expires")

@@ -139,6 +139,11 @@ class SnapshotTable:
         at = self.commit(version, timestamp)
         return self._scan(_files_of(at), _schema_of(at))
 
+    def as_view(self, name: str, version: int | None = None, timestamp: str | None = None) -> str:
+        """A temporary view of one version, for SQL text."""
+        self.read(version, timestamp).createOrReplaceTempView(name)
+        return name
+
     def detail(self) -> DataFrame:
         """Location, number of files, bytes and properties of the latest version."""
         now = self.commit()
@@ -390,7 +395,7 @@ class SnapshotTable:
         parts = max(1, math.ceil(total / target_bytes))
         if cluster_by is None:
             packed, others = self._split_off(live, stored.select("path"))
-            rows = self._scan(packed, schema).repartition(parts)
+            rows = self._scan(packed, schema).coalesce(parts)  # the scan packs small files, no shuffle
         else:
             others = {}
             rows = (

@@ -10,7 +10,9 @@ from millpond.operators.snapshot import SnapshotTable
 
 
 def totals(rows: DataFrame, value: str) -> DataFrame:
-    return rows.agg(F.count("*").alias("row_count"), F.round(F.sum(value), 2).alias("total"))
+    """Row count and total, summed in cents so that the order of partitions does not matter."""
+    exact = F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
+    return rows.agg(F.count("*").alias("row_count"), exact.alias("total"))
 
 
 def recover(table: SnapshotTable, good_version: int, key: str, value: str) -> int | None:

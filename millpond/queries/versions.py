@@ -181,8 +181,8 @@ def as_of_version(spark, sf):
 
 
 @query("as_of_timestamp", _STORY_SQL + """
-    SELECT 'before update' AS at, COUNT(*) AS row_count, ROUND(SUM(o_totalprice), 2) AS total FROM v2
-    UNION ALL SELECT 'first load', COUNT(*), ROUND(SUM(o_totalprice), 2) FROM v1""")
+    SELECT 'before update' AS at, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v2
+    UNION ALL SELECT 'first load', COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v1""")
 def as_of_timestamp(spark, sf):
     story = _orders_story(spark, sf)
     later = totals(story.read(timestamp="2024-01-03 12:00:00"), "o_totalprice")
@@ -193,9 +193,9 @@ def as_of_timestamp(spark, sf):
 
 
 @query("snapshot_totals", _STORY_SQL + """
-    SELECT 1::BIGINT AS version, COUNT(*) AS row_count, ROUND(SUM(o_totalprice), 2) AS total FROM v1
-    UNION ALL SELECT 2, COUNT(*), ROUND(SUM(o_totalprice), 2) FROM v2
-    UNION ALL SELECT 3, COUNT(*), ROUND(SUM(o_totalprice), 2) FROM v3""")
+    SELECT 1::BIGINT AS version, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v1
+    UNION ALL SELECT 2, COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v2
+    UNION ALL SELECT 3, COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v3""")
 def snapshot_totals(spark, sf):
     story = _orders_story(spark, sf)
     one, two, three = [
@@ -253,8 +253,8 @@ def version_diff_full_query(spark, sf):
 
 
 @query("recovery_totals", _STORY_SQL + """
-    SELECT 'damaged' AS state, COUNT(*) AS row_count, ROUND(SUM(o_totalprice), 2) AS total FROM v3
-    UNION ALL SELECT 'restored', COUNT(*), ROUND(SUM(o_totalprice), 2) FROM v2""")
+    SELECT 'damaged' AS state, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v3
+    UNION ALL SELECT 'restored', COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v2""")
 def recovery_totals(spark, sf):
     story = _orders_story(spark, sf)
     recover(story, 2, "o_orderkey", "o_totalprice")

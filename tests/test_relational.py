@@ -99,8 +99,10 @@ def test_same_name_on_both_sides_is_ambiguous(departments, projects):
 def test_broadcast_is_checked(employees, departments):
     match = F.col("dept") == F.col("dept_name")
     assert "BroadcastHashJoin" in plan(employees.join(broadcast_checked(departments), match))
-    too_large = broadcast_checked(departments, max_rows=3)
+    too_large = broadcast_checked(departments, max_bytes=80)
     assert too_large is departments
+    nested = departments.select(F.array("dept_name").alias("names"), F.struct("dept_id").alias("s"))
+    assert broadcast_checked(nested, max_bytes=10) is nested and broadcast_checked(nested) is not nested
 
 
 def test_sort_merge_join_plan(spark):

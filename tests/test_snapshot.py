@@ -57,6 +57,15 @@ def test_timestamp_travel(spark, staff):
     assert staff.read(timestamp="2024-02-01 00:00:00").count() == 4
 
 
+def test_versions_in_sql_text(spark, staff):
+    staff.update("id = 1", {"salary": "salary + 1"})
+    staff.as_view("staff_now"), staff.as_view("staff_before", version=0)
+    changed = spark.sql("""
+        SELECT n.id, n.salary - b.salary AS raised FROM staff_now n JOIN staff_before b ON n.id = b.id
+        WHERE n.salary != b.salary""")
+    assert rows(changed) == [(1, 1)]
+
+
 def test_a_version_is_committed_once(staff):
     now = staff.commit()
     staff.delete("id = 1")
