@@ -104,10 +104,14 @@ class SnapshotTable:
 
     # ---- versions -----------------------------------------------------
 
-    def history(self) -> DataFrame:
-        """One row per version."""
+    def history(self, first: int | None = None, last: int | None = None) -> DataFrame:
+        """One row per version; with bounds (both included) only those commits are read."""
         rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits")
-        return rows.select([c for c in rows.columns if c != "v"])
+        if first is not None:
+            rows = rows.where(F.col("v") >= first)
+        if last is not None:
+            rows = rows.where(F.col("v") <= last)
+        return rows.drop("v")
 
     def commit(self, version: int | None = None, timestamp: str | None = None) -> Row:
         """The commit row of a version, of the last one up to a time, or the latest."""
@@ -219,6 +223,7 @@ class SnapshotTable:
         now = self.commit()
         schema = _schema_of(now)
         hit = F.coalesce(as_column(condition), F.lit(False))
+        _refuse_unknown(assign, schema)
         touched, untouched = self._divide(now, hit)
         if not touched:
             return now.version
@@ -268,6 +273,8 @@ class SnapshotTable:
         schema = _schema_of(now)
         columns = [f.name for f in schema.fields]
         types = {f.name: f.dataType for f in schema.fields}
+        for given in [*(c.assign for c in matched), *(c.values for c in not_matched)]:
+            _refuse_unknown(given or {}, schema)
         source = staged(source, "merge-source")
         live = _files_of(now)
         touched, untouched = {}, live
@@ -332,11 +339,9 @@ class SnapshotTable:
         changes, at = None, at or _now()
         if self._feed_on(now):
             mine, theirs = self.differing_rows(now.version, version)
-            theirs = theirs.select(*[c for c in mine.columns if c in theirs.columns])
-            shared = mine.select(*theirs.columns)
-            rows = _tagged(shared.exceptAll(theirs), "delete").unionByName(
-                _tagged(theirs.exceptAll(shared), "insert")
-            )
+            mine, theirs = _widened(mine, theirs.schema), _widened(theirs, mine.schema)
+            theirs = theirs.select(*mine.columns)
+            rows = _tagged(mine.exceptAll(theirs), "delete").unionByName(_tagged(theirs.exceptAll(mine), "insert"))
             changes = self._write_changes(self._commit_id(now.version + 1), now.version + 1, at, rows)
         return self._republish(
             now, "RESTORE", {"version": version},
@@ -353,13 +358,14 @@ class SnapshotTable:
         Version 0 counts when ``after`` is 0, so that a first run starts with everything.
         """
         first = 0 if after == 0 else after + 1
-        loads = self.history().where(
-            F.col("version").between(first, until) & F.col("operation").isin("APPEND", "CREATE TABLE AS SELECT")
-        )
+        commits = self.history(max(first - 1, 0), until).select("version", "operation", "files")
         folders: Files = {}
-        for row in loads.select("version").collect():
-            known = _files_of(self.commit(row.version - 1)) if row.version else {}
-            folders |= {f: None for f in _files_of(self.commit(row.version)) if f not in known}
+        known: Files = {}
+        for row in commits.orderBy("version").collect():
+            files = _files_of(row)
+            if row.version >= first and row.operation in ("APPEND", "CREATE TABLE AS SELECT"):
+                folders |= {f: None for f in files if f not in known}
+            known = files
         return self._scan(folders, self.schema(until))
 
     def differing_rows(self, left: int, right: int) -> tuple[DataFrame, DataFrame]:
@@ -420,6 +426,8 @@ class SnapshotTable:
         )
         whole = kept.where("f.names IS NULL").select("f.folder").distinct()
         single = kept.select("f.folder", F.explode("f.names").alias("name")).distinct()
+        if commits.where(F.size("files") > 0).isEmpty():
+            return self._listing([])
         return (
             self._listing([f"{self.root}/data"])
             .where(F.col("modificationTime") < cut)
@@ -461,10 +469,8 @@ class SnapshotTable:
 
     def changes(self, starting_version: int = 0, ending_version: int | None = None) -> DataFrame:
         """Change rows of committed versions, both ends included."""
-        rows = self.history().where(F.col("version") >= starting_version)
-        if ending_version is not None:
-            rows = rows.where(F.col("version") <= ending_version)
-        folders = [r.changes for r in rows.where("changes IS NOT NULL").select("changes").collect()]
+        rows = self.history(starting_version, ending_version).where("changes IS NOT NULL")
+        folders = [r.changes for r in rows.select("changes").collect()]
         return self.change_rows(folders)
 
     def change_rows(self, folders: list[str]) -> DataFrame:
@@ -666,5 +672,17 @@ def _feed_schema(schema: T.StructType) -> T.StructType:
     )
 
 
+def _refuse_unknown(assign: dict, schema: T.StructType) -> None:
+    unknown = set(assign) - set(schema.names)
+    if unknown:
+        raise SchemaMismatch(f"columns not in the table: {sorted(unknown)}")
+
+
+def _widened(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """With the columns of ``schema`` that are missing, as NULL."""
+    missing = [f for f in schema.fields if f.name not in rows.columns]
+    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+
 def _tagged(rows: DataFrame, kind: str) -> DataFrame:
     return rows.select(F.lit(kind).alias("_change_type"), "*")

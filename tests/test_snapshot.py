@@ -82,6 +82,38 @@ def test_update_and_delete_treat_null_as_false(spark, root):
     assert rows(made.read(), "id") == [(2, None), (3, 70)]
 
 
+def test_unknown_columns_are_refused(spark, staff):
+    with pytest.raises(SchemaMismatch):
+        staff.update("id = 1", {"salry": "0"})
+    assert staff.current_version() == 0
+
+
+def test_vacuum_of_an_empty_table(spark, root):
+    made = SnapshotTable.create(spark, f"{root}/e", "id int")
+    assert made.vacuum(retain_hours=0, force=True).count() == 0
+
+
+def test_appended_rows(spark, staff):
+    two = spark.createDataFrame([(11, "Kim", 1), (12, "Lee", 2)], "id int, name string, salary long")
+    staff.append(two)
+    staff.update("id < 3", {"salary": "0"})
+    staff.append(two.limit(1))
+    staff.optimize(cluster_by="id")
+    assert staff.appended_rows(0, 4).count() == 8
+    assert rows(staff.appended_rows(1, 4).select("id")) == [(11,)]
+    assert staff.appended_rows(3, 4).count() == 0
+
+
+def test_restore_over_an_added_column_is_in_the_feed(spark, root):
+    made = SnapshotTable.create(spark, f"{root}/f", "id int, x int", {FEED_PROPERTY: "true"})
+    made.append(spark.createDataFrame([(1, 1), (2, 2)], "id int, x int"))
+    made.add_columns("note string")
+    made.update("id = 1", {"note": "'n'"})
+    made.restore(1)
+    assert rows(made.read(), "id") == [(1, 1), (2, 2)]
+    assert rows(made.changes(4).select("_change_type", "id")) == [("delete", 1), ("insert", 1)]
+
+
 def test_nothing_to_change_makes_no_version(staff):
     assert staff.update("id = 99", {"salary": "0"}) == 0
     assert staff.delete("id = 99") == 0
