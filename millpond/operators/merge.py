@@ -51,14 +51,17 @@ def first_clause(clauses) -> Column:
     return picked
 
 
+def _same_key(on: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
+
+
 def acting_pairs(target: DataFrame, source: DataFrame, on, matched, how: str) -> DataFrame:
     """Join target rows (left) to the source rows that change them.
 
     The big side is on the left of an inner or left join, so adaptive
     execution may split a hot key's partition.
     """
-    fires = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
-    fires &= first_clause(matched).isNotNull()
+    fires = _same_key(on) & first_clause(matched).isNotNull()
     return target.alias("t").join(source.alias("s"), fires, how)
 
 
@@ -101,25 +104,39 @@ def matched_changes(actions: DataFrame, columns) -> DataFrame:
     return changed.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def absent_rows(source: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
-    """Source rows whose key the target does not hold; a NULL key is never held.
+def known_pairs(target: DataFrame, source: DataFrame, on, matched) -> DataFrame:
+    """Key and file of each target row that a source row (unique by key) meets, and the clause that fires."""
+    meets = target.alias("t").join(source.alias("s"), _same_key(on), "inner")
+    return meets.select(*[F.col(f"t.{k}").alias(k) for k in on], "t._file", first_clause(matched).alias("clause"))
+
+
+def held_keys(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
+    """Keys that both sides hold, once each; a NULL key is never held.
 
-    The keys both sides hold are found first, with the target on the left: a
-    small source is then broadcast against it and the target's keys do not
-    shuffle, as they would in one anti join.
+    The target is on the left: a small source is broadcast against it and the
+    target's keys do not shuffle, as they would in one anti join.
     """
-    held = target.select(*on).join(source.select(*on).distinct(), on, "left_semi").distinct()
-    return source.join(held, on, "left_anti")
+    return target.select(*on).join(source.select(*on).distinct(), on, "left_semi").distinct()
 
 
-def insert_rows(target: DataFrame, source: DataFrame, on, not_matched, columns, types) -> DataFrame:
+def absent_rows(source: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
+    """Source rows whose key the target does not hold."""
+    return source.join(held_keys(target, source, on), on, "left_anti")
+
+
+def insert_rows(
+    target: DataFrame, source: DataFrame, on, not_matched, columns, types, held: DataFrame | None = None
+) -> DataFrame:
     """Source rows without a partner in the target, shaped by the first clause that holds.
 
     A NULL key never matches, so such rows are inserted, as MERGE does.
+    ``held`` may name the keys of the target that the source meets, if known.
     """
     clause = first_clause(not_matched)
     wanted = source.alias("s").where(clause.isNotNull()).select("s.*")
-    fresh = absent_rows(wanted, target, on).alias("s")
+    if held is None:
+        held = held_keys(target, wanted, on)
+    fresh = wanted.join(held, on, "left_anti").alias("s")
     out = []
     for name in columns:
         value = F.lit(None)
@@ -133,16 +150,21 @@ def insert_rows(target: DataFrame, source: DataFrame, on, not_matched, columns,
     return fresh.select(*out)
 
 
-def refuse_ambiguous(target: DataFrame, source: DataFrame, on, matched, row_id: list[str]) -> None:
-    """Raise if a target row (identified by ``row_id``) is changed by two source rows."""
-    repeated = source.groupBy(*on).count().where("count > 1").select(*on)
+def refuse_ambiguous(target: DataFrame, source: DataFrame, on, matched, row_id: list[str]) -> bool:
+    """Raise if a target row (identified by ``row_id``) is changed by two source rows.
+
+    True if the source's keys are unique, so that no target row can meet two.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    repeated = source.where(known).groupBy(*on).count().where("count > 1").select(*on)
     if not repeated.take(1):
-        return
+        return True
     suspects = source.join(repeated, on, "left_semi")
     hits = acting_pairs(target, suspects, on, matched, "inner")
     clash = hits.groupBy(*[F.col(f"t.{c}") for c in row_id]).count().where("count > 1")
     if clash.take(1):
         raise AmbiguousMerge(f"several source rows change one target row; make {on} unique")
+    return False
 
 
 def merge_frames(target: DataFrame, source: DataFrame, on, matched=(), not_matched=()):

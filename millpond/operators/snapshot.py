@@ -278,12 +278,17 @@ class SnapshotTable:
         source = staged(source, "merge-source")
         live = _files_of(now)
         touched, untouched = {}, live
-        kept = images = None
+        kept = images = held = None
         if matched and live:
             target = self._identified(live, schema)
-            M.refuse_ambiguous(target, source, on, matched, ["_file", "_position"])
-            hits = M.acting_pairs(target, source, on, matched, "inner")
-            touched, untouched = self._split_off(live, hits.select("t._file"))
+            unique = M.refuse_ambiguous(target, source, on, matched, ["_file", "_position"])
+            if unique and not_matched:  # one pass over the target's keys serves both kinds of clause
+                pairs = staged(M.known_pairs(target, source, on, matched), "merge-pairs")
+                held = pairs.select(*on).distinct()
+                hits = pairs.where("clause IS NOT NULL").select("_file")
+            else:
+                hits = M.acting_pairs(target, source, on, matched, "inner").select("t._file")
+            touched, untouched = self._split_off(live, hits)
         if touched:
             actions = M.action_frame(self._scan(touched, schema), source, on, matched, columns, types)
             if self._feed_on(now):
@@ -291,7 +296,7 @@ class SnapshotTable:
                 images = M.matched_changes(actions, columns)
             kept = M.kept_rows(actions)
         if not_matched:
-            fresh = M.insert_rows(self._scan(live, schema), source, on, not_matched, columns, types)
+            fresh = M.insert_rows(self._scan(live, schema), source, on, not_matched, columns, types, held)
             if self._feed_on(now):
                 fresh = staged(fresh, "merge-inserts")
                 inserted = _tagged(fresh, "insert")
