@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from millpond.functions.scalars import parse_amount, parse_date
-from millpond.operators.layout import layout_report
+from millpond.operators.layout import layout_report, spread_by
 from millpond.operators.snapshot import SnapshotTable
 from millpond.queries.registry import query, table, view
 from millpond.sources import files, sinks
@@ -183,9 +183,9 @@ def json_glob(spark, sf):
 def list_landing(spark, sf):
     """Bytes that landed per day, from the listing alone."""
     path = new_path(spark, "landing")
-    lines = files.read_csv(spark, _event_lines(spark, sf), "line string", sep="\n", header=False)
-    by_day = lines.withColumn("day", F.regexp_extract("line", r"(\d{4}-\d\d-\d\d)", 1))
-    by_day.hint("rebalance", "day").write.partitionBy("day").text(path)
+    lines = spark.read.text(_event_lines(spark, sf))
+    by_day = lines.withColumn("day", F.regexp_extract("value", r"(\d{4}-\d\d-\d\d)", 1))
+    spread_by(by_day, "day").write.partitionBy("day").text(path)
     return (
         files.list_landing(spark, path, "*.txt")
         .groupBy(F.regexp_extract("path", "day=([^/]+)/", 1).cast("date").alias("day"))

@@ -20,8 +20,9 @@ def read_csv(
 ) -> DataFrame:
     """Delimited text with an explicit schema; without one the types are inferred by an extra pass.
 
-    With ``mode="DROPMALFORMED"`` columns are not pruned, since which rows are
-    malformed must not depend on the columns a query happens to use.
+    In the modes DROPMALFORMED and FAILFAST all columns are parsed once into a
+    written table, since which rows are malformed must not depend on the
+    columns a query happens to use. FAILFAST so raises here, at the read.
     """
     reader = spark.read.option("sep", sep).option("header", header).option("mode", mode).options(**options)
     if null_value is not None:
@@ -29,7 +30,7 @@ def read_csv(
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     rows = reader.schema(_schema(schema)).csv(path)
-    return staged(rows, "csv-wellformed") if mode.upper() == "DROPMALFORMED" else rows
+    return rows if mode.upper() == "PERMISSIVE" else staged(rows, "csv-wellformed")
 
 
 def read_csv_split(spark: SparkSession, path, schema, **options) -> tuple[DataFrame, DataFrame]:

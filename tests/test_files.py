@@ -66,7 +66,9 @@ def test_dropmalformed_counts_what_it_returns(spark, landing):
 
 def test_failfast_raises_on_the_bad_row(spark, landing):
     with pytest.raises(Exception, match="Malformed records are detected"):
-        files.read_csv(spark, f"{landing}/day1.csv", fx.LANDING_SCHEMA, mode="FAILFAST").collect()
+        files.read_csv(spark, f"{landing}/day1.csv", fx.LANDING_SCHEMA, mode="FAILFAST")
+    good = files.read_csv(spark, f"{landing}/day1.csv", "a string, b string, c string, d string, e string", mode="FAILFAST")
+    assert good.count() == 3
 
 
 def test_landing_listing(spark, landing):
