@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import mixing
+from millpond.llm import bpe, mixing
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,17 @@ def op1_mix_sources(spark, sf_dir):
     return found.select(
         "doc.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
+
+
+@query
+def op2_byte_bpe(spark, sf_dir):
+    """Ids of every whole text, and the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc.doc_id", "ids")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded("ids", path), 256).alias("decoded_sha256"),
+    )
