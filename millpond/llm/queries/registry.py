@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import bpe, mixing
+from millpond.llm import bpe, mixing, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,12 @@ def op2_byte_bpe(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(bpe.decoded("ids", path), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_token_counts(spark, sf_dir):
+    """Tokens of every whole text, and whether it exceeds a context of 2048."""
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    docs = table(spark, sf_dir, "documents").select("doc_id", n_bytes.alias("n_bytes"), "text")
+    found = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc.doc_id", "doc.n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
