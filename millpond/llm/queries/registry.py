@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import bpe, mixing, token_counts
+from millpond.llm import bpe, mixing, simhash, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,11 @@ def op6_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", n_bytes.alias("n_bytes"), "text")
     found = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
     return found.select("doc.doc_id", "doc.n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    """64-bit fingerprints of 3-word shingles, and the documents connected within 2 bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, words=3, lanes=1, radius=2, agreement=None)
+    return found.select("doc.doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
