@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import bpe, mixing, simhash, token_counts
+from millpond.llm import bpe, mixing, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,11 @@ def op7_simhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, words=3, lanes=1, radius=2, agreement=None)
     return found.select("doc.doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    """Words of every document left after removing 13-word passages of earlier documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.without_repeats(docs)
+    return found.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
