@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import bpe, mixing, simhash, substrings, token_counts
+from millpond.llm import ann, bpe, mixing, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op10_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substrings.without_repeats(docs)
     return found.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_inverted_multi_index(spark, sf_dir):
+    """The 5 nearest vectors of every fiftieth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
