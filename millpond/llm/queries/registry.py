@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import ann, bpe, mixing, simhash, substrings, token_counts
+from millpond.llm import ann, bpe, mixing, pii, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,18 @@ def op10_substring_dedup(spark, sf_dir):
 def op9_inverted_multi_index(spark, sf_dir):
     """The 5 nearest vectors of every fiftieth one."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op5_pii(spark, sf_dir):
+    """Spans of personal data in every whole text, and of the terms that disclose it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.personal_data(docs).select("doc.doc_id", "spans")
+    base = pii.KINDS[:4]
+
+    def count_of(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count_of, base), F.sha2(pii.listed(F.col("spans"), base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
