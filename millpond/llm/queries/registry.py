@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import ann, bpe, mixing, pii, simhash, substrings, token_counts
+from millpond.llm import ann, bpe, mixing, pii, quality_rules, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,13 @@ def op5_pii(spark, sf_dir):
     return found.select(
         "doc_id", *map(count_of, base), F.sha2(pii.listed(F.col("spans"), base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    """Rule statistics of every whole text, and whether base rules and chosen cutoffs keep it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = quality_rules.judged(docs, table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
