@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import ann, bpe, mixing, pii, quality_rules, simhash, substrings, token_counts
+from millpond.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,11 @@ def op8_quality_rules(spark, sf_dir):
     return found.select(
         "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op4_quality_classifier(spark, sf_dir):
+    """Quality scores of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_model.scored(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "held_out", "score", "predicted")
