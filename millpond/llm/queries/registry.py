@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import ann, bpe, mixing, pii, quality_model, quality_rules, simhash, substrings, token_counts
+from millpond.llm import ann, bpe, licenses, mixing, pii, quality_model, quality_rules, simhash, substrings, token_counts
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,17 @@ def op4_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality_model.scored(docs, table(spark, sf_dir, "labels"))
     return found.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op3_license_scan(spark, sf_dir):
+    """License notices in every whole text, and how much of each is there."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scanned(docs)
+    spans = F.transform("licenses", lambda m: F.concat_ws(":", m["name"], m["start"].cast("string"), m["end"].cast("string")))
+    return found.select(
+        "doc.doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(spans, ",").alias("spans"),
+        F.array_max(F.transform("licenses", lambda m: m["coverage"])).alias("coverage"),
+    )

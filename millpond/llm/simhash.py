@@ -285,24 +285,10 @@ def components(work: Work, edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(
-    docs: DataFrame,
-    words: int = 5,
-    lanes: int = 4,
-    radius: int = 42,
-    agreement: float | None = 0.85,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    keep_text: bool = False,
-) -> DataFrame:
-    """``doc``, ``fingerprint`` (binary) and ``component_id`` (smallest identifier of its group) of every row.
-
-    With an ``agreement`` the buckets come from sampled bits, which find a pair
-    that agrees in that share of the bits with probability 0.97; with None they
-    are exact. The defaults (five words, 256 bits, radius 42) stand for a
-    similarity of 0.8 or more: shingle sets with Jaccard 0.8 differ in
-    256 * acos(0.89) / pi = 39 bits on average.
-    """
+def _named(
+    docs: DataFrame, words: int, lanes: int, radius: int, agreement: float | None, doc_id: str, text: str, keep_text: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The rows (``row``, ``doc``, ``id``, ``print``) and the component of each fingerprint (``of_print``)."""
 
     @arrow_udf("binary")
     def print_of(texts: pa.Array) -> pa.Array:
@@ -310,9 +296,8 @@ def near_duplicates(
 
     work = Work(docs.sparkSession)
     kept = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text] or [F.lit(None).alias("none")]
-    found = work.staged(
-        docs.select(F.struct(*kept).alias("doc"), F.col(doc_id).alias("id"), print_of(F.col(text)).alias("print")), "prints"
-    )
+    found = docs.select(F.struct(*kept).alias("doc"), F.col(doc_id).alias("id"), print_of(F.col(text)).alias("print"))
+    found = work.staged(found.withColumn("row", F.monotonically_increasing_id()), "prints")
     nodes = work.staged(
         found.groupBy("print").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
@@ -326,16 +311,46 @@ def near_duplicates(
         "rooted",
     )
     smallest = rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, F.col("root") == F.col("of")).select("of_print", "component_id")
+    return found, rooted.join(smallest, F.col("root") == F.col("of")).select("of_print", "component_id", "root")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    words: int = 5,
+    lanes: int = 4,
+    radius: int = 42,
+    agreement: float | None = 0.85,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``doc`` (all columns but the text), ``fingerprint`` (binary) and ``component_id`` of every row.
+
+    The component is named by its smallest identifier. With an ``agreement``
+    the buckets come from sampled bits, which find a pair that agrees in that
+    share of the bits with probability 0.97; with None they are exact. The
+    defaults (five words, 256 bits, radius 42) stand for a similarity of 0.8 or
+    more: shingle sets with Jaccard 0.8 differ in 256 * acos(0.89) / pi = 39
+    bits on average.
+    """
+    found, named = _named(docs, words, lanes, radius, agreement, doc_id, text, False)
     return found.join(named, F.col("print") == F.col("of_print"), "inner").select(
         "doc", F.col("print").alias("fingerprint"), "component_id"
     )
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One row of each group of near-duplicates: of those with its smallest identifier, one."""
-    found = near_duplicates(docs, doc_id=doc_id, keep_text=True, **options)
-    first = F.col(f"doc.`{doc_id}`")
-    stays = found.where(first.eqNullSafe(F.col("component_id")))
-    # rows that repeat an identifier are told apart only by what they hold
-    return stays.groupBy("component_id").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc.*")
+def deduplicated(
+    docs: DataFrame,
+    words: int = 5,
+    lanes: int = 4,
+    radius: int = 42,
+    agreement: float | None = 0.85,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One row of each group of near-duplicates, that of its smallest identifier (NULL is the largest)."""
+    found, named = _named(docs, words, lanes, radius, agreement, doc_id, text, True)
+    narrow = found.select("row", "id", "print").join(named, F.col("print") == F.col("of_print"), "inner")
+    first = narrow.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    stays = first.select(F.col("first.row").alias("of_row"))
+    # the texts move once
+    return found.join(stays, F.col("row") == F.col("of_row"), "left_semi").select("doc.*")
