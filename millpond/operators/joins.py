@@ -45,3 +45,13 @@ def point_in_time_join(
         & (date < F.coalesce(F.col(valid_to), F.lit("9999-12-31").cast("date")))
     )
     return facts.join(rows, inside, "inner").drop("_history_key")
+
+
+def without_match(rows: DataFrame, others: DataFrame, key: str, other_key: str) -> DataFrame:
+    """Rows whose key no other row has.
+
+    The others are reduced to their keys before the shuffle, so that a hot key
+    among them arrives once per task and not once per row.
+    """
+    keys = others.select(F.col(other_key).alias("_other")).distinct()
+    return rows.join(keys, F.col(key) == F.col("_other"), "left_anti")

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from millpond.operators.dedup import duplicate_keys, first_per_key
 from millpond.operators.groups import top_per_group, with_group_stats
-from millpond.operators.joins import broadcast_checked
+from millpond.operators.joins import broadcast_checked, without_match
 from millpond.operators.quality import count_where, layer_counts
 from millpond.queries.registry import query, table, view
 from millpond.sources.generated import doubled_range
 from millpond.workspace import staged
 
-# fixed values: the domain of orders.o_orderpriority
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+#: Values of the smaller side of a product of domains.
+MOST_LEVELS = 1000
 
 
 # ---- filters and projections ---------------------------------------------
@@ -226,10 +227,14 @@ def _rush_orders(spark, sf):
     SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN
         (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') ON c_custkey = o_custkey""")
 def left_join(spark, sf):
-    customer = table(spark, sf, "customer")
-    return customer.join(_rush_orders(spark, sf), F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        "c_custkey", "c_name", "o_orderkey", "o_totalprice"
-    )
+    """Matches by an inner join, of which both sides can be split at a hot key; then the customers without any."""
+    customer, rush = table(spark, sf, "customer"), _rush_orders(spark, sf)
+    columns = ["c_custkey", "c_name", "o_orderkey", "o_totalprice"]
+    matched = rush.join(customer, F.col("o_custkey") == F.col("c_custkey"), "inner").select(*columns)
+    alone = without_match(customer, rush, "c_custkey", "o_custkey")
+    for name in columns[2:]:
+        alone = alone.withColumn(name, F.lit(None).cast(rush.schema[name].dataType))
+    return matched.unionByName(alone.select(*columns))
 
 
 @query("full_outer_join", """
@@ -277,23 +282,32 @@ def sort_merge_join(spark, sf):
 
 @query("cross_join", """
     SELECT c_nationkey, priority, COALESCE(order_count, 0) AS order_count
-    FROM (SELECT DISTINCT c_nationkey FROM customer JOIN orders ON c_custkey = o_custkey)
+    FROM (SELECT DISTINCT c_nationkey FROM customer)
     CROSS JOIN (SELECT DISTINCT o_orderpriority AS priority FROM orders)
-    LEFT JOIN (SELECT c_nationkey, o_orderpriority AS priority, COUNT(*) AS order_count
-               FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL) USING (c_nationkey, priority)""")
+    LEFT JOIN (SELECT c_nationkey AS nation, o_orderpriority AS level, COUNT(*) AS order_count
+               FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)
+    ON c_nationkey IS NOT DISTINCT FROM nation AND priority IS NOT DISTINCT FROM level""")
 def cross_join(spark, sf):
-    """Every nation with every priority, including pairs without orders.
+    """Every nation of a customer with every priority of an order, including pairs without orders.
 
-    One counter per priority and nation, turned into rows: the pairs of the
-    cross product without multiplying rows.
+    The orders are counted per pair first, so that only the two domains are
+    multiplied. The smaller one travels as an array.
     """
     customer, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
     counted = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey")
-        .agg(*[F.count_if(F.col("o_orderpriority") == p).alias(p) for p in PRIORITIES])
+        .groupBy(F.col("c_nationkey").alias("nation"), F.col("o_orderpriority").alias("level"))
+        .agg(F.count("*").alias("orders"))
+    )
+    levels = [r[0] for r in orders.select("o_orderpriority").distinct().limit(MOST_LEVELS + 1).collect()]
+    if len(levels) > MOST_LEVELS:
+        raise ValueError(f"more than {MOST_LEVELS} priorities")
+    every = F.explode(F.array(*[F.lit(level).cast("string") for level in levels]).cast("array<string>"))
+    pairs = customer.select("c_nationkey").distinct().select("c_nationkey", every.alias("priority"))
+    same = F.col("c_nationkey").eqNullSafe(F.col("nation")) & F.col("priority").eqNullSafe(F.col("level"))
+    return pairs.join(counted, same, "left").select(
+        "c_nationkey", "priority", F.coalesce("orders", F.lit(0)).cast("long").alias("order_count")
     )
-    return counted.unpivot("c_nationkey", PRIORITIES, "priority", "order_count")
 
 
 @query("left_anti", """
@@ -301,9 +315,7 @@ def cross_join(spark, sf):
         SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""")
 def left_anti(spark, sf):
     customer = table(spark, sf, "customer")
-    return customer.join(_rush_orders(spark, sf), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(
-        "c_custkey", "c_name"
-    )
+    return without_match(customer, _rush_orders(spark, sf), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("left_anti_alias", """
@@ -315,6 +327,7 @@ def left_anti_alias(spark, sf):
         table(spark, sf, "lineitem")
         .filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 48))
         .select(F.col("l_partkey").alias("partkey"))
+        .distinct()  # combined before the shuffle: a hot part arrives once per task
         .alias("r")
     )
     return parts.join(returned, F.col("p.partkey") == F.col("r.partkey"), "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import plan, rows
 from millpond.operators.dedup import first_per_key
 from millpond.operators.groups import with_group_stats
-from millpond.operators.joins import point_in_time_join
+from millpond.operators.joins import point_in_time_join, without_match
 from millpond.operators.merge import WhenMatched, absent_rows, acting_pairs
 from millpond.operators.scd import open_history
 from millpond.workspace import staged
@@ -95,3 +95,11 @@ def test_a_small_source_leaves_the_target_unshuffled(spark, facts):
     # the only shuffles are of the matched and of the source's own keys
     scan = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(scan) == 2
+
+
+def test_rows_without_match_see_a_hot_key_once_per_task(spark, facts, no_broadcast):
+    keys = spark.range(10).withColumnRenamed("id", "own")
+    df = without_match(keys, facts, "own", "k")
+    found, text = ran(df)
+    assert found == 10 - facts.select("k").distinct().where("k < 10").count()
+    assert text.count("HashAggregate") >= 2
