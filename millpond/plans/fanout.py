@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millpond.operators.joins import broadcast_checked
-from millpond.operators.quality import count_where
 from millpond.workspace import staged
 
 
@@ -22,25 +21,31 @@ def fanout(
     """Count bad rows, enrich the good ones and write one summary per key list.
 
     GROUPING SETS make all summaries in one pass with partial aggregation, so
-    the base is not cached. The bad rows are counted by an aggregate of their
-    own, which stays exact when lost tasks run again. Returns the written
+    the base is neither cached nor read twice. The state of a row, which is
+    part of every set and of one set of its own, carries the bad rows along;
+    their count stays exact when lost tasks run again. Returns the written
     summaries and the bad count.
     """
-    ok = F.coalesce(good, F.lit(False))
-    bad = count_where(facts, bad=~ok).first().bad
-    base = enrich(facts.where(ok), lookup, on)
-    every = list(dict.fromkeys(k for ks in keys.values() for k in ks))
+    state = F.when(~F.coalesce(good, F.lit(False)), "bad").when(F.col("_known"), "good").otherwise("unknown")
+    known = broadcast_checked(lookup.withColumn("_known", F.lit(True)))
+    base = facts.join(known, on=on, how="left").withColumn("_state", state).drop("_known")
+    every = ["_state", *dict.fromkeys(k for ks in keys.values() for k in ks)]
+    sets = [["_state", *ks] for ks in keys.values()] + [["_state"]]
     summary = staged(
-        base.groupingSets([[F.col(k) for k in ks] for ks in keys.values()], *[F.col(k) for k in every])
-        .agg(F.grouping_id().alias("_set"), *measures),
+        base.groupingSets([[F.col(k) for k in ks] for ks in sets], *[F.col(k) for k in every])
+        .agg(F.grouping_id().alias("_set"), F.count("*").alias("_rows"), *measures),
         "fanout",
     )
+    alone = (1 << (len(every) - 1)) - 1  # all keys but the state are left out
+    counted = summary.where((F.col("_set") == alone) & (F.col("_state") == "bad")).agg(F.sum("_rows")).first()
+    bad = counted[0] or 0
     written = {}
     for name, ks in keys.items():
         # grouping_id has a set bit for each key, first key highest, that is left out
-        number = sum(1 << (len(every) - 1 - i) for i, k in enumerate(every) if k not in ks)
-        gone = [k for k in every if k not in ks]
-        summary.where(F.col("_set") == number).drop("_set", *gone).write.mode("overwrite").parquet(
+        gone = [k for k in every if k not in ks and k != "_state"]
+        number = sum(1 << (len(every) - 1 - every.index(k)) for k in gone)
+        own = summary.where((F.col("_set") == number) & (F.col("_state") == "good"))
+        own.drop("_set", "_rows", "_state", *gone).write.mode("overwrite").parquet(
             f"{out_path}/{name}"
         )
         written[name] = facts.sparkSession.read.parquet(f"{out_path}/{name}")

@@ -11,6 +11,7 @@ from millpond.operators.dedup import first_per_key
 from millpond.operators.merge import WhenNotMatched
 from millpond.operators.quality import split_valid
 from millpond.operators.snapshot import SnapshotTable
+from millpond.workspace import staged
 
 BRONZE_SCHEMA = "ingestion_timestamp timestamp, source_file string, raw_payload string"
 SILVER_SCHEMA = (
@@ -58,6 +59,7 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
     )
 
 
+GOLD_KEYS = ["region", "order_date"]
 BRONZE_SEEN, SILVER_SEEN = "bronzeVersion", "silverVersion"
 
 
@@ -88,7 +90,7 @@ def _mark(table: SnapshotTable, name: str) -> int:
 
 
 def refresh(layers: Layers) -> None:
-    """Bring silver, quarantine and gold up to date, parsing only new bronze rows.
+    """Bring silver, quarantine and gold up to date, parsing new bronze rows once.
 
     Each layer keeps, in the commit that changes it, how far it has read. So
     a refresh that breaks off is completed by the next one without repeated
@@ -96,8 +98,14 @@ def refresh(layers: Layers) -> None:
     """
     arrived = layers.bronze.current_version()
 
+    parsed: dict[int, DataFrame] = {}
+
     def unseen(layer: SnapshotTable) -> DataFrame:
-        return parse_bronze(layers.bronze.appended_rows(_mark(layer, BRONZE_SEEN), arrived))
+        # both layers stand at the same mark, unless a refresh broke off between them
+        seen = _mark(layer, BRONZE_SEEN)
+        if seen not in parsed:
+            parsed[seen] = staged(parse_bronze(layers.bronze.appended_rows(seen, arrived)), "parsed")
+        return parsed[seen]
 
     mark = {BRONZE_SEEN: str(arrived)}
     if _mark(layers.quarantine, BRONZE_SEEN) < arrived:
@@ -108,5 +116,13 @@ def refresh(layers: Layers) -> None:
         orders = first_per_key(valid, ["order_id"], ["ingestion_timestamp", "source_file"])
         layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()], properties=mark)
     refined = layers.silver.current_version()
-    if _mark(layers.gold, SILVER_SEEN) < refined:
-        layers.gold.overwrite(daily_revenue(layers.silver.read()), properties={SILVER_SEEN: str(refined)})
+    seen = _mark(layers.gold, SILVER_SEEN)
+    if seen < refined:
+        # only groups with new or changed rows are summed up again
+        gone, came = layers.silver.differing_rows(seen, refined)
+        groups = staged(gone.select(*GOLD_KEYS).unionByName(came.select(*GOLD_KEYS)).distinct(), "gold-groups")
+        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in GOLD_KEYS]
+        silver, gold = layers.silver.read().alias("t"), layers.gold.read().alias("t")
+        fresh = daily_revenue(silver.join(groups.alias("g"), same, "left_semi"))
+        kept = gold.join(groups.alias("g"), same, "left_anti")
+        layers.gold.overwrite(kept.unionByName(fresh), properties={SILVER_SEEN: str(refined)})
