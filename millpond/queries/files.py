@@ -11,7 +11,7 @@ from millpond.operators.layout import layout_report, spread_by
 from millpond.operators.snapshot import SnapshotTable
 from millpond.queries.registry import query, table, view
 from millpond.sources import files, sinks
-from millpond.workspace import new_path
+from millpond.workspace import new_path, staged
 
 ORDER_ROW = "order_id long, customer_id long, status string, amount double, order_date string, priority string"
 
@@ -89,7 +89,9 @@ def _event_lines(spark, sf):
     value = F.when(F.col("event_type") == "error", "INVALID").otherwise(F.col("value").cast("string"))
     extra = F.when(F.col("event_type") == "signup", "SAVE10")
     day = F.date_format("ts", "yyyy-MM-dd")
-    line = F.concat_ws(",", "event_id", "user_id", value, day, "event_type", extra)
+    # concat_ws skips NULLs, which would shift the columns: only the additional field may be left out
+    fields = [F.coalesce(c.cast("string"), F.lit("")) for c in (F.col("event_id"), F.col("user_id"), value, day, F.col("event_type"))]
+    line = F.concat_ws(",", *fields, extra)
     path = new_path(spark, "event-lines")
     table(spark, sf, "events").select(line.alias("line")).write.text(path)
     return path
@@ -270,11 +272,11 @@ def layout_report_query(spark, sf):
     sinks.write_csv(items, csv)
     sinks.write_parquet(items, parquet)
     versioned = SnapshotTable.write(spark, new_path(spark, "layout-versioned"), items)
-    report = layout_report({
+    report = staged(layout_report({
         "csv": files.read_csv(spark, csv, items.schema),
         "parquet": files.read_parquet(spark, parquet),
         "versioned": versioned.read(),
-    })
+    }), "layout-report")
     csv_bytes = report.where(F.col("output") == "csv").first().bytes
     return report.select(
         "output", "rows", (F.col("files") > 0).alias("has_files"),

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millpond.operators.layout import file_count_for, spread_by
 
+#: Rows of a report that one task may write.
+ONE_FILE_ROWS = 1_000_000
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode="overwrite"):
     """Parquet folder, optionally with one sub-folder per value."""
@@ -16,13 +19,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mod
 
 
 def write_sized(df: DataFrame, path: str, total_bytes: int, mode="overwrite"):
-    """Parquet in no more files than ``total_bytes`` calls for, without a shuffle."""
-    df.coalesce(file_count_for(total_bytes)).write.mode(mode).parquet(path)
+    """Parquet in the number of files that ``total_bytes`` calls for; the work before the write keeps its tasks."""
+    df.repartition(file_count_for(total_bytes)).write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep=",", header=True, one_file=False, mode="overwrite", **options):
-    """Delimited text. ``one_file`` is for reports of bounded size, since one task writes it."""
-    rows = df.coalesce(1) if one_file else df
+    """Delimited text. One task writes a single file, so ``one_file`` is refused for more than ``ONE_FILE_ROWS``."""
+    if one_file and df.limit(ONE_FILE_ROWS + 1).count() > ONE_FILE_ROWS:
+        raise ValueError(f"more than {ONE_FILE_ROWS} rows for one file")
+    # a shuffle, so that the work before the write keeps its tasks
+    rows = df.repartition(1) if one_file else df
     rows.write.mode(mode).option("sep", sep).option("header", header).options(**options).csv(path)
 
 

@@ -10,8 +10,8 @@ from millpond.operators.snapshot import COMMIT_SCHEMA, SnapshotTable
 COMMITS_PER_BATCH = 1000
 
 
-def stream_changes(table: SnapshotTable, log_path: str, checkpoint: str, starting_version: int = 0) -> None:
-    """Append all change rows committed since the last run to a Parquet log, then stop.
+def stream_changes(table: SnapshotTable, log_path: str, checkpoint: str, starting_version: int = 0, timeout: int = 3600) -> None:
+    """Append all change rows committed since the last run to a Parquet log, then stop (after ``timeout`` seconds at most).
 
     The stream follows the commit rows, which appear last, so rows of an
     unfinished operation are never taken and no version is skipped. A batch
@@ -37,7 +37,9 @@ def stream_changes(table: SnapshotTable, log_path: str, checkpoint: str, startin
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    if not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"the stream did not end within {timeout} s; the next run goes on from its checkpoint")
 
 
 def read_log(table: SnapshotTable, log_path: str) -> DataFrame:

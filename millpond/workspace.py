@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,8 +15,9 @@ _local_roots: dict[str, str] = {}
 def work_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is only made up in local mode, where the driver is
-    also the only executor. On a cluster an unset folder is an error.
+    Where it is unset, as in tests, a folder is made up in local mode alone,
+    where the driver is also the only executor, and goes with the process. On
+    a cluster an unset folder is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -25,6 +28,7 @@ def work_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="millpond-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
