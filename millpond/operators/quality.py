@@ -14,6 +14,12 @@ def split_valid(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(ok), df.where(~ok)
 
 
+def broken_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Each row once per rule that does not hold for it (false or NULL), named in ``broken_rule``."""
+    names = [F.when(~F.coalesce(F.expr(rule), F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    return df.withColumn("broken_rule", F.explode(F.array_compact(F.array(*names))))
+
+
 def count_where(df: DataFrame, **conditions: Column) -> DataFrame:
     """One row with the number of rows meeting each condition, in a single scan."""
     return df.agg(

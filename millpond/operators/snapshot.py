@@ -361,6 +361,9 @@ class SnapshotTable:
         """Rows that appends (or the first write) brought in versions ``after`` < v <= ``until``.
 
         Version 0 counts when ``after`` is 0, so that a first run starts with everything.
+        Versions that only rewrite or remove rows add none. One that may add
+        rows in another way is refused, since its new rows cannot be told from
+        rewritten ones by file.
         """
         first = 0 if after == 0 else after + 1
         commits = self.history(max(first - 1, 0), until).select("version", "operation", "files")
@@ -368,8 +371,11 @@ class SnapshotTable:
         known: Files = {}
         for row in commits.orderBy("version").collect():
             files = _files_of(row)
-            if row.version >= first and row.operation in ("APPEND", "CREATE TABLE AS SELECT"):
-                folders |= {f: None for f in files if f not in known}
+            added = {f: None for f in files if f not in known}
+            if row.version >= first and added and row.operation not in ("UPDATE", "DELETE", "OPTIMIZE"):
+                if row.operation not in ("APPEND", "CREATE TABLE AS SELECT"):
+                    raise ValueError(f"version {row.version} is a {row.operation}, not an append")
+                folders |= added
             known = files
         return self._scan(folders, self.schema(until))
 

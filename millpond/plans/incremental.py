@@ -26,21 +26,29 @@ def watermark(control: SnapshotTable, name: str):
 
 
 def incremental_load(
-    source: DataFrame, sink: SnapshotTable, control: SnapshotTable, name: str, key: str, changed_at: str
+    source: DataFrame, sink: SnapshotTable, control: SnapshotTable, name: str, key: str, changed_at: str,
+    undated: SnapshotTable | None = None,
 ) -> int:
     """Append source rows changed since the mark, then move the mark. Returns the rows loaded.
 
     Rows at the mark itself are read again and checked against the sink's
     rows from there on, so a late row with the same time is not lost and a
     run repeated after a failure adds nothing twice. An empty run leaves the
-    mark alone.
+    mark alone. Rows without a readable change time can never be placed by a
+    mark: they replace the rows of ``undated``, and are refused if there is no
+    such table.
     """
     at, mark = F.col(changed_at), F.lit(watermark(control, name))
     kind = source.schema[changed_at].dataType
     if isinstance(kind, T.StringType):
-        at = at.cast("timestamp")
+        at = at.try_cast("timestamp")
     else:
         mark = mark.cast(kind)  # the bare column can be pushed down to the scan
+    lost = source.where(at.isNull())
+    if undated is not None:
+        undated.overwrite(lost)
+    elif lost.take(1):
+        raise ValueError(f"rows of {name} have no readable {changed_at}; give a table for them")
     recent = source.where(at >= mark)
     # written, since the planner cannot tell how few rows lie at or after the mark
     loaded = staged(sink.read().where(at >= mark).select(key, changed_at), "loaded")

@@ -144,20 +144,23 @@ def medallion_counts(spark, sf):
 
 
 def _loads(spark, sf):
-    """Three runs over a source that grows by ten days each time, and one without news."""
+    """A run for each of two early periods, one for all the rest, and one without news."""
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
     sink = SnapshotTable.create(spark, new_path(spark, "loaded"), events.schema)
-    control = control_table(spark, new_path(spark, "control"), "events", "2024-01-01 00:00:00")
+    undated = SnapshotTable.create(spark, new_path(spark, "undated"), events.schema)
+    control = control_table(spark, new_path(spark, "control"), "events", "1000-01-01 00:00:00")
     counts = []
-    for until in ["2024-01-11", "2024-01-21", "2024-02-01", "2024-02-01"]:
-        arrived = events.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-        counts.append(incremental_load(arrived, sink, control, "events", "event_id", "ts"))
-    return sink, control, counts
+    for until in ["2024-01-11", "2024-01-21", None, None]:
+        arrived = events
+        if until:
+            arrived = events.where(F.col("ts").isNull() | (F.col("ts") < F.lit(until).cast("timestamp_ntz")))
+        counts.append(incremental_load(arrived, sink, control, "events", "event_id", "ts", undated))
+    return sink, control, counts, undated
 
 
 @query("incremental_first", "SELECT event_id, user_id, value, ts FROM events WHERE ts < TIMESTAMP '2024-01-11'")
 def incremental_first(spark, sf):
-    sink, _, _ = _loads(spark, sf)
+    sink, *_ = _loads(spark, sf)
     return sink.read(version=1)
 
 
@@ -166,19 +169,21 @@ def incremental_first(spark, sf):
     WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'""")
 def incremental_batch(spark, sf):
     """The rows that only the second run added."""
-    sink, _, _ = _loads(spark, sf)
+    sink, *_ = _loads(spark, sf)
     _, added = sink.differing_rows(1, 2)
     return added
 
 
 @query("incremental_total", """
-    SELECT COUNT(*) AS row_count, COUNT(DISTINCT event_id) AS ids, ROUND(SUM(value), 2) AS total, 3::BIGINT AS versions
-    FROM events""")
+    SELECT COUNT(*) AS row_count, COUNT(DISTINCT event_id) AS ids, ROUND(SUM(value), 2) AS total, 3::BIGINT AS versions,
+           (SELECT COUNT(*) FROM events WHERE ts IS NULL) AS undated
+    FROM events WHERE ts IS NOT NULL""")
 def incremental_total(spark, sf):
-    sink, _, _ = _loads(spark, sf)
+    sink, _, _, undated = _loads(spark, sf)
     return sink.read().agg(
         F.count("*").alias("row_count"), F.count_distinct("event_id").alias("ids"),
         F.round(F.sum("value"), 2).alias("total"), F.lit(sink.current_version()).cast("long").alias("versions"),
+        F.lit(undated.read().count()).cast("long").alias("undated"),
     )
 
 
@@ -188,7 +193,7 @@ def incremental_total(spark, sf):
            COUNT(*) FILTER (ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21') AS run_2,
            COUNT(*) FILTER (ts >= TIMESTAMP '2024-01-21') AS run_3, 0::BIGINT AS run_4 FROM events""")
 def watermark_state(spark, sf):
-    _, control, counts = _loads(spark, sf)
+    _, control, counts, _ = _loads(spark, sf)
     return control.read().select(
         "table_name", F.col("last_processed_timestamp").cast("timestamp_ntz").alias("last_processed_timestamp"),
         *[F.lit(n).cast("long").alias(f"run_{i + 1}") for i, n in enumerate(counts)],
@@ -243,7 +248,7 @@ def fanout_region(spark, sf):
 @query("fanout_status", _BASE_SQL + """
     SELECT o_orderstatus, COUNT(*) AS txn_count,
            (SELECT COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey
-            WHERE NOT o_totalprice > 1500) AS bad_records
+            WHERE NOT COALESCE(o_totalprice > 1500, false)) AS bad_records
     FROM base GROUP BY o_orderstatus""")
 def fanout_status(spark, sf):
     written, bad = _summaries(spark, sf)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators.diff import version_diff, version_diff_full
+from millpond.operators.quality import broken_rules, split_valid
 from millpond.operators.snapshot import FEED_PROPERTY, SnapshotTable
 from millpond.plans.recovery import recover, totals
 from millpond.queries.registry import query, table
@@ -37,6 +38,11 @@ def _orders_story(spark, sf) -> SnapshotTable:
     return story
 
 
+def _batches(rows, key: str, count: int) -> list:
+    """The rows in batches by a hash of their key; every row, also one without a key, is in one batch."""
+    return [rows.where(F.pmod(F.xxhash64(key), F.lit(count)) == i) for i in range(count)]
+
+
 # ---- scans, writes, appends ------------------------------------------------------
 
 
@@ -58,8 +64,8 @@ def snapshot_overwrite(spark, sf):
 def snapshot_append(spark, sf):
     orders = _orders(spark, sf)
     grown = SnapshotTable.create(spark, new_path(spark, "append"), orders.schema)
-    for status in ["F", "O", "P"]:
-        grown.append(orders.where(F.col("o_orderstatus") == status))
+    for batch in _batches(orders, "o_orderkey", 3):
+        grown.append(batch)
     return grown.read().groupBy("o_orderstatus").agg(F.count("*").alias("order_count"))
 
 
@@ -181,8 +187,8 @@ def as_of_version(spark, sf):
 
 
 @query("as_of_timestamp", _STORY_SQL + """
-    SELECT 'before update' AS at, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v2
-    UNION ALL SELECT 'first load', COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v1""")
+    SELECT 'before update' AS at, COUNT(*) AS row_count, ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE AS total FROM v2
+    UNION ALL SELECT 'first load', COUNT(*), ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE FROM v1""")
 def as_of_timestamp(spark, sf):
     story = _orders_story(spark, sf)
     later = totals(story.read(timestamp="2024-01-03 12:00:00"), "o_totalprice")
@@ -193,9 +199,9 @@ def as_of_timestamp(spark, sf):
 
 
 @query("snapshot_totals", _STORY_SQL + """
-    SELECT 1::BIGINT AS version, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v1
-    UNION ALL SELECT 2, COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v2
-    UNION ALL SELECT 3, COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v3""")
+    SELECT 1::BIGINT AS version, COUNT(*) AS row_count, ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE AS total FROM v1
+    UNION ALL SELECT 2, COUNT(*), ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE FROM v2
+    UNION ALL SELECT 3, COUNT(*), ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE FROM v3""")
 def snapshot_totals(spark, sf):
     story = _orders_story(spark, sf)
     one, two, three = [
@@ -253,11 +259,11 @@ def version_diff_full_query(spark, sf):
 
 
 @query("recovery_totals", _STORY_SQL + """
-    SELECT 'damaged' AS state, COUNT(*) AS row_count, SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE AS total FROM v3
-    UNION ALL SELECT 'restored', COUNT(*), SUM(o_totalprice::DECIMAL(18, 2))::DOUBLE FROM v2""")
+    SELECT 'damaged' AS state, COUNT(*) AS row_count, ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE AS total FROM v3
+    UNION ALL SELECT 'restored', COUNT(*), ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE FROM v2""")
 def recovery_totals(spark, sf):
     story = _orders_story(spark, sf)
-    recover(story, 2, "o_orderkey", "o_totalprice")
+    recover(story, 2, "o_orderkey")
     damaged = totals(story.read(version=3), "o_totalprice").select(F.lit("damaged").alias("state"), "*")
     return damaged.unionByName(totals(story.read(), "o_totalprice").select(F.lit("restored").alias("state"), "*"))
 
@@ -303,10 +309,23 @@ def checked_append(spark, sf):
     orders = _orders(spark, sf).select("o_orderkey", "o_totalprice")
     made = SnapshotTable.create(spark, new_path(spark, "checked"), orders.schema)
     made.add_constraint("positive_price", "o_totalprice > 0")
-    made.append(orders.where("o_totalprice > 0"))
+    valid, _ = split_valid(orders, F.col("o_totalprice") > 0)
+    made.append(valid)
     return made.read()
 
 
+ORDER_RULES = {"price_floor": "o_totalprice > 50000", "closed": "o_orderstatus <> 'P'", "prioritised": "o_orderpriority <> '5-LOW'"}
+
+
+@query("refused_rows", """
+    SELECT o_orderkey, 'price_floor' AS broken_rule FROM orders WHERE NOT COALESCE(o_totalprice > 50000, false)
+    UNION ALL SELECT o_orderkey, 'closed' FROM orders WHERE NOT COALESCE(o_orderstatus <> 'P', false)
+    UNION ALL SELECT o_orderkey, 'prioritised' FROM orders WHERE NOT COALESCE(o_orderpriority <> '5-LOW', false)""")
+def refused_rows(spark, sf):
+    """Rows that rules refuse, with each rule they break, in one scan."""
+    return broken_rules(_orders(spark, sf), ORDER_RULES).select("o_orderkey", "broken_rule")
+
+
 @query("optimize_same_rows", "SELECT * FROM orders")
 def optimize_same_rows(spark, sf):
     story = _orders_story(spark, sf)
@@ -321,8 +340,8 @@ def compacted_layout(spark, sf):
     """Many small appends packed into fewer files."""
     orders = _orders(spark, sf)
     made = SnapshotTable.create(spark, new_path(spark, "compact"), orders.schema)
-    for priority in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]:
-        made.append(orders.where(F.col("o_orderpriority") == priority))
+    for batch in _batches(orders, "o_orderkey", 5):
+        made.append(batch)
     before = made.detail().first().num_files
     last = made.commit().operation
     made.optimize()

@@ -307,6 +307,27 @@ def test_incremental_loads(spark, root):
     assert load(changed) == 1 and sink.read().where("txn_id = 1").count() == 2
 
 
+def test_rows_without_a_change_time_are_set_aside(spark, root):
+    schema = "txn_id int, amount double, updated_at string"
+    source = spark.createDataFrame([(1, 1.0, "2024-01-16 00:00:00"), (2, 2.0, None), (3, 3.0, "soon")], schema)
+    sink = SnapshotTable.create(spark, f"{root}/bronze", source.schema)
+    control = control_table(spark, f"{root}/control", "transactions", "2024-01-15 00:00:00")
+    with pytest.raises(ValueError):
+        incremental_load(source, sink, control, "transactions", "txn_id", "updated_at")
+    undated = SnapshotTable.create(spark, f"{root}/undated", source.schema)
+    for expected in (1, 0):
+        assert incremental_load(source, sink, control, "transactions", "txn_id", "updated_at", undated) == expected
+        assert [r[0] for r in rows(undated.read().select("txn_id"), "txn_id")] == [2, 3]
+
+
+def test_layers_refuse_bronze_rows_that_were_not_appended(spark, root):
+    layers = open_layers(spark, root)
+    layers.bronze.append(spark.createDataFrame([], layers.bronze.schema()))
+    layers.bronze.overwrite(spark.createDataFrame([(None, "f", "{}")], layers.bronze.schema()))
+    with pytest.raises(ValueError):
+        refresh(layers)
+
+
 def test_a_load_repeated_after_a_crash_adds_nothing_twice(spark, root):
     first = spark.createDataFrame(fx.TRANSACTIONS, fx.TRANSACTIONS_SCHEMA)
     sink = SnapshotTable.create(spark, f"{root}/bronze", first.schema)

@@ -13,7 +13,7 @@ from millpond.operators.diff import row_diff, version_diff, version_diff_full
 from millpond.operators.snapshot import (
     FEED_PROPERTY, RETENTION_PROPERTY, ConstraintViolation, SchemaMismatch, SnapshotTable,
 )
-from millpond.plans.recovery import recover
+from millpond.plans.recovery import recover, totals
 
 SF = "/root/testdata/sf0.001"
 
@@ -222,13 +222,32 @@ def test_time_travel_totals_and_recovery(spark, root):
     spoiled = version_diff(made, 2, 3, "sale_id", "amount")
     assert spoiled.count() == 8 and spoiled.columns == ["sale_id", "current_amount", "previous_amount"]
     clone = made.clone(f"{root}/clone", version=2)
-    assert recover(made, 2, "sale_id", "amount") == 4
+    assert recover(made, 2, "sale_id") == 4
     assert total(made.read()) == 4889.92 and same(made.read(), made.read(version=2))
-    assert recover(made, 2, "sale_id", "amount") is None
+    assert recover(made, 2, "sale_id") is None
     clone.delete("sale_id > 1")
     assert made.read().count() == 8 and clone.read().count() == 1
 
 
+def test_recovery_sees_lost_added_and_emptied_rows(spark, root):
+    made = SnapshotTable.create(spark, f"{root}/sales", "sale_id int, amount double")
+    made.append(spark.createDataFrame([(i, float(i)) for i in range(10)], made.schema()))
+    good = made.read()
+    assert recover(made, 1, "sale_id") is None
+    for spoil in (
+        lambda: made.delete("sale_id >= 5"),
+        lambda: made.update("sale_id < 5", {"amount": "NULL"}),
+        lambda: made.append(spark.createDataFrame([(99, 1.0)], made.schema())),
+    ):
+        spoil()
+        assert recover(made, 1, "sale_id") == made.current_version()
+        assert same(made.read(), good)
+
+
+def test_totals_keep_small_amounts(spark):
+    assert totals(spark.range(1000).selectExpr("0.004D AS v"), "v").first().total == 4.0
+
+
 def test_full_diff(spark, root):
     made = sales(spark, root)
     made.delete("sale_id = 3")
