@@ -90,6 +90,7 @@ def nearest(queries: pd.DataFrame, entries: pd.DataFrame, k: int) -> pd.DataFram
         ids, second = entries["id"].to_numpy(), entries["second"].to_numpy()
         vectors = np.array(entries["vector"].tolist(), np.float64)
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
+        repeats = len(ids) - len(np.unique(ids))
         rough = _unit(queries["q_vector"].tolist()) @ _unit(entries["vector"].tolist()).T
         for query, vector, seconds, scores in zip(queries["q_id"].to_numpy(), queries["q_vector"], queries["seconds"], rough):
             own = np.flatnonzero(np.isin(second, seconds) & (ids != query))
@@ -97,11 +98,15 @@ def nearest(queries: pd.DataFrame, entries: pd.DataFrame, k: int) -> pd.DataFram
                 continue
             scores = scores[own]
             # the block product rounds by position: keep what may tie, then sum row by row
-            bound = np.partition(scores, max(0, len(own) - k))[max(0, len(own) - k)] - 1e-9
+            place = max(0, len(own) - k - repeats)
+            bound = np.partition(scores, place)[place] - 1e-9
             own = own[scores >= bound]
             q = np.asarray(vector, np.float64)
             exact = (vectors[own] * q).sum(axis=1) / (np.sqrt((q * q).sum()) * lengths[own])
-            best = np.lexsort((ids[own], -exact))[:k]
+            best = np.lexsort((ids[own], -exact))
+            if repeats:  # the best of the rows with one identifier
+                best = best[np.sort(np.unique(ids[own[best]], return_index=True)[1])]
+            best = best[:k]
             found.append((np.full(len(best), query), ids[own[best]], exact[best]))
     query_id, vec_id, score = (np.concatenate(column) for column in zip(*found))
     return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
