@@ -262,6 +262,28 @@ def ctas_filter(spark, sf):
     return spark.table(name)
 
 
+@query("ctas_aggregate", """
+    SELECT p_type, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS total_price FROM part GROUP BY p_type""")
+def ctas_aggregate(spark, sf):
+    view(spark, sf, "part")
+    name = f"{_database(spark)}.parts_by_type"
+    spark.sql(f"""
+        CREATE TABLE {name} USING PARQUET AS
+        SELECT p_type, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS total_price FROM part GROUP BY p_type""")
+    return spark.table(name)
+
+
+@query("sized_write", "SELECT COUNT(*) AS row_count, SUM(l_quantity)::DOUBLE AS quantity, 3::BIGINT AS files FROM lineitem")
+def sized_write(spark, sf):
+    """All line items in as many files as a stated size calls for."""
+    path = new_path(spark, "sized")
+    sinks.write_sized(table(spark, sf, "lineitem"), path, total_bytes=300 * 1024 * 1024)
+    return files.read_parquet(spark, path).withColumn("file", F.input_file_name()).agg(
+        F.count("*").alias("row_count"), F.sum("l_quantity").cast("double").alias("quantity"),
+        F.count_distinct("file").alias("files"),
+    )
+
+
 @query("layout_report", """
     SELECT unnest(['csv', 'parquet', 'versioned']) AS output, COUNT(*) AS rows,
            true AS has_files, unnest([false, true, true]) AS smaller_than_csv FROM lineitem""")
