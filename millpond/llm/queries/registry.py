@@ -20,6 +20,25 @@ def query(fn):
     return fn
 
 
+ORACLES["op10_substring_dedup"] = r"""
+    WITH split AS (
+        SELECT doc_id, list_filter(string_split_regex(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+        FROM documents),
+    windows AS (
+        SELECT doc_id, start, array_to_string(words[start:start + 12], ' ') AS window_words
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS start FROM split WHERE len(words) >= 13)),
+    firsts AS (SELECT window_words, MIN(doc_id) AS first_id FROM windows GROUP BY window_words),
+    gone AS (
+        SELECT doc_id, list(DISTINCT position) AS positions
+        FROM (SELECT doc_id, unnest(range(start, start + 13)) AS position
+              FROM windows JOIN firsts USING (window_words) WHERE first_id < doc_id)
+        GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, COALESCE(len(positions), 0) AS n_removed,
+           sha256(array_to_string(list_filter(words, lambda w, i: positions IS NULL OR NOT list_contains(positions, i)), ' '))
+               AS kept_sha256
+    FROM split LEFT JOIN gone USING (doc_id)"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
