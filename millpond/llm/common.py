@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,11 @@ from millpond.workspace import new_path
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of an Arrow batch that goes to a Python worker.
+ROWS_PER_BATCH = 500
+
+_ROOT = str(Path(__file__).resolve().parents[2])
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -27,19 +34,26 @@ class Work:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: dict[int, str] = {}
+        self.tables: list[DataFrame] = []
+        # workers import this package from where the driver found it, unless it is installed or shipped
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if _ROOT not in paths:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [_ROOT])
+        # texts are large rows: ten thousand of them (the default) are too much for one Arrow batch
+        if int(spark.conf.get(_BATCH)) > ROWS_PER_BATCH:
+            spark.conf.set(_BATCH, ROWS_PER_BATCH)
 
     def staged(self, df: DataFrame, label: str) -> DataFrame:
         path = new_path(self.spark, label)
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before)
-        # a table of unknown columns would be listed for its schema: give it
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = path
-        self._keep = [*getattr(self, "_keep", []), table]
+        self.tables.append(table)
         return table
 
     def drop(self, *tables: DataFrame) -> None:

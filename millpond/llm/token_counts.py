@@ -8,8 +8,9 @@ or a digest) are broadcast. All others are joined by a shuffle, in which none
 of them can be hot.
 
 A word, cut at ASCII white space, is a unit for the tokenizer's normalizer and
-pre-tokenizer, so these run once per different word and worker; special
-strings inside words are pre-tokens of one token.
+pre-tokenizer, so these run once per different word; special strings inside
+words are pre-tokens of one token. Words of plain Latin characters, whose
+classes and case need no tables, are split by a regular expression.
 
 Defined cases: a NULL or empty text has 0 tokens; repeated rows are counted
 one by one; an empty table gives an empty result; further columns travel in
@@ -28,13 +29,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from millpond.llm.common import Work, byte_words
 
-#: At most so many pre-tokens are broadcast.
-HEAD = 20_000
+#: At most so many pre-tokens are broadcast, some 30 MB if all were of the full length.
+HEAD = 300_000
 #: Words whose pre-tokens a worker remembers.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
+#: Words that need no normalizer: printable ASCII but the apostrophe, and Latin-1 letters.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_PLAIN_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The byte-level spelling of the letters beyond ASCII.
+_SPELLED = {c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
 _PIECES = "array<struct<piece:string,n:long>>"
 
@@ -48,6 +55,8 @@ def _tokenizer(path: str) -> tuple[Tokenizer, re.Pattern | None]:
 
 def _split(tokenizer: Tokenizer, special: re.Pattern | None, word: str) -> list[str]:
     """The pre-tokens of one word, as the model sees them."""
+    if _PLAIN.fullmatch(word) and not (special and special.search(word)):
+        return [piece.translate(_SPELLED) for piece in _PLAIN_PIECE.findall(word.lower())]
     found = []
     for at, part in enumerate(special.split(word) if special else [word]):
         if at % 2:
