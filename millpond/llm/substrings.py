@@ -7,15 +7,15 @@ it also starts in a document with a smaller identifier.
    hash in it, so equal windows have equal anchors. Only about a fifth of the
    positions are anchors; those found in two documents are recurring.
 2. Documents give their pieces: the words of the neighbouring windows that
-   share one recurring anchor (21 at most). All pieces of an anchor belong to
-   one shard, so a shard can confirm which windows recur, and where first.
-3. Each shard compiles the confirmed phrases into an Aho-Corasick automaton
-   over word numbers and streams its pieces of all documents through it.
+   share one recurring anchor. All pieces of an anchor belong to one shard, so
+   the shard can confirm which windows recur, and where first.
+3. Each shard compiles the confirmed phrases, runs of recurring windows with
+   one first document, into an Aho-Corasick automaton over word numbers, and
+   streams its pieces of all documents through it.
 
-Pieces of an anchor that very many documents have are confirmed window by
-window in an aggregation before they reach their shard, and the stream of a
-large shard is cut into parts which each get its phrases. Matches compare
-words, not hashes.
+Anchors that very many documents have go to shards of their own: there the
+windows are confirmed by an aggregation first, and the stream is cut into parts
+which each get the confirmed phrases. Matches compare words, not hashes.
 
 Defined cases: NULL and empty texts have no words; a document with a NULL
 identifier keeps all words and takes none from others; rows that repeat an
@@ -41,7 +41,7 @@ WINDOW, GRAM = 13, 5
 #: An anchor in more documents than this is confirmed by aggregation.
 CROWD = 2000
 #: Pieces of a shard, and of a part of its stream.
-SHARD, PART = 4000, 8000
+SHARD, PART = 20_000, 40_000
 
 
 class _WordHashes(dict):
@@ -58,85 +58,72 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _word_hashes(texts: list[str], known: _WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, one after the other, and the number of words of each."""
-    parts, counts = [], []
-    for text in texts:
-        n = 0
-        for words in byte_words(text.encode()):
-            parts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-            n += len(words)
-        counts.append(n)
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64), np.array(counts, np.int64)
+def _words(texts: list[str]) -> list[list[bytes]]:
+    return [[word for some in byte_words(text.encode()) for word in some] for text in texts]
 
 
-def anchors(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of all windows, the position of the anchor of each, and the anchors' values."""
-    if len(hashes) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = np.zeros(len(hashes) - GRAM + 1, np.uint64)
+def anchors(texts: list[list[bytes]], known: _WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor, in all texts: start of the first window, end of the last, the anchor.
+
+    Positions count the words of all texts, one text after the other.
+    """
+    counts = np.array([len(words) for words in texts], np.int64)
+    total = int(counts.sum())
+    if total < WINDOW:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = np.concatenate([np.fromiter(map(known.__getitem__, words), np.uint64, len(words)) for words in texts])
+    grams = np.zeros(total - GRAM + 1, np.uint64)
     for i in range(GRAM):
         grams = _mix(grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + len(grams)] + np.uint64(i))
-    document = np.repeat(np.arange(len(counts)), counts)
-    starts = np.flatnonzero(document[WINDOW - 1 :] == document[: 1 - WINDOW])
-    choice = WINDOW - GRAM + 1
-    view = np.lib.stride_tricks.sliding_window_view(grams, choice)
-    at = np.empty(len(starts), np.int64)
-    for low in range(0, len(starts), 1 << 18):  # bounded memory for very long texts
-        some = starts[low : low + (1 << 18)]
-        at[low : low + len(some)] = some + view[some].argmin(axis=1)
-    return starts, at, grams[at]
-
-
-def _anchor_lists(texts: list[str], known: _WordHashes) -> pa.Array:
-    """The different anchors of each text."""
-    hashes, counts = _word_hashes(texts, known)
-    _, at, values = anchors(hashes, counts)
-    ends = np.cumsum(counts)
-    document = np.searchsorted(ends, at, side="right")
-    order = np.lexsort((values, document))
-    document, values = document[order], values[order]
-    first = np.ones(len(values), bool)
-    first[1:] = (document[1:] != document[:-1]) | (values[1:] != values[:-1])
-    document, values = document[first], values[first]
-    offsets = np.searchsorted(document, np.arange(len(texts) + 1))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
-
-
-def _pieces(text: str, recurring: dict[int, bool], known: _WordHashes) -> list[tuple[int, bool, int, str]]:
-    """(anchor, crowded, first word, words) for the runs of windows with a recurring anchor."""
-    hashes, counts = _word_hashes([text], known)
-    starts, at, values = anchors(hashes, counts)
-    own = np.flatnonzero(np.isin(values.view(np.int64), np.fromiter(recurring, np.int64, len(recurring))))
-    if not len(own):
-        return []
-    cuts = np.flatnonzero((np.diff(own) != 1) | (at[own[1:]] != at[own[:-1]])) + 1
-    words = [word for some in byte_words(text.encode()) for word in some]
-    found = []
-    for low, high in zip([0, *cuts], [*cuts, len(own)]):
-        begin, end = int(starts[own[low]]), int(starts[own[high - 1]]) + WINDOW
-        anchor = int(values[own[low]].view(np.int64))
-        found.append((anchor, recurring[anchor], begin, b" ".join(words[begin:end]).decode()))
-    return found
-
-
-def automaton(phrases: list[tuple[str, int, int]]) -> tuple[ahocorasick.Automaton, dict[str, int]]:
-    """The confirmed windows of (words, first document, last document), and the numbers of the words.
-
-    A window recurs if its first document is not its last.
+    least, reach = grams, 1
+    while reach < WINDOW - GRAM + 1:  # minima over doubling spans
+        step = min(reach, WINDOW - GRAM + 1 - reach)
+        least, reach = np.minimum(least[:-step], least[step:]), reach + step
+    text = np.repeat(np.arange(len(texts)), counts)
+    starts = np.flatnonzero(text[WINDOW - 1 :] == text[: 1 - WINDOW])
+    values = least[starts]
+    heads = np.ones(len(starts), bool)
+    heads[1:] = (values[1:] != values[:-1]) | (np.diff(starts) != 1)
+    first = np.flatnonzero(heads)
+    last = np.append(first[1:], len(starts))[: len(first)] - 1
+    return starts[first], starts[last] + WINDOW, values[first].view(np.int64)
+
+
+def automaton(phrases: pd.DataFrame) -> tuple[ahocorasick.Automaton, dict[str, int]]:
+    """The confirmed phrases of rows (anchor, text, first, last), and the numbers of the words.
+
+    A window recurs if the first document that has it is not the last. Equal
+    windows have equal anchors, so the pieces of one anchor decide it. Each
+    phrase is kept with its length and first document.
     """
     numbers: dict[str, int] = {}
-    windows: dict[tuple[int, ...], tuple[int, int]] = {}
-    for text, first, last in phrases:
-        letters = tuple(numbers.setdefault(word, len(numbers) + 1) for word in text.split(" "))
-        for i in range(len(letters) - WINDOW + 1):
-            key = letters[i : i + WINDOW]
-            low, high = windows.get(key, (first, last))
-            windows[key] = (min(low, first), max(high, last))
     found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, (first, last) in windows.items():
-        if first < last:
-            found.add_word(key, first)
+    by_anchor: dict[int, list[tuple[tuple[int, ...], int, int]]] = {}
+    for anchor, text, first, last in zip(*(phrases[f"p_{c}"].tolist() for c in ("anchor", "text", "first", "last"))):
+        letters = tuple([numbers.setdefault(word, len(numbers) + 1) for word in text.split(" ")])
+        by_anchor.setdefault(anchor, []).append((letters, first, last))
+    for pieces in by_anchor.values():
+        if len(pieces) == 1:  # no other piece shares its windows
+            letters, first, last = pieces[0]
+            if first < last:
+                found.add_word(letters, (len(letters), first))
+            continue
+        windows: dict[tuple[int, ...], tuple[int, int]] = {}
+        for letters, first, last in pieces:
+            for i in range(len(letters) - WINDOW + 1):
+                key = letters[i : i + WINDOW]
+                low, high = windows.get(key, (first, last))
+                windows[key] = (min(low, first), max(high, last))
+        for letters, _, _ in pieces:
+            begin, own = 0, None
+            for i in range(len(letters) - WINDOW + 2):
+                low, high = windows[letters[i : i + WINDOW]] if i + WINDOW <= len(letters) else (0, 0)
+                now = low if low < high else None
+                if now != own or i + WINDOW > len(letters):
+                    if own is not None:
+                        run = letters[begin : i - 1 + WINDOW]
+                        found.add_word(run, (len(run), own))
+                    begin, own = i, now
     if len(found):
         found.make_automaton()
     return found, numbers
@@ -144,57 +131,130 @@ def automaton(phrases: list[tuple[str, int, int]]) -> tuple[ahocorasick.Automato
 
 def _located(phrases: pd.DataFrame, stream: pd.DataFrame) -> pd.DataFrame:
     """Word ranges, per document, whose windows start in an earlier document."""
-    found, numbers = automaton(list(zip(phrases["p_text"], phrases["p_first"], phrases["p_last"])))
-    known: dict[str, list[tuple[int, int]]] = {}
-    out = []
-    for doc, key, begin, text in zip(stream["id"], stream["key"], stream["begin"], stream["text"]) if len(found) else ():
-        hits = known.get(text)
-        if hits is None:
-            letters = tuple(numbers.get(word, 0) for word in text.split(" "))
-            hits = known[text] = [(end + 1 - WINDOW, first) for end, first in found.iter(letters)]
-        low = high = -1
-        for start, first in hits:
-            if first >= doc:
-                continue
-            if start > high:
-                if high >= 0:
-                    out.append((doc, key, begin + low, begin + high))
-                low = start
-            high = start + WINDOW
-        if high >= 0:
-            out.append((doc, key, begin + low, begin + high))
-    return pd.DataFrame(out, columns=["id", "key", "low", "high"])
-
-
-def _kept(text: str | None, spans) -> tuple[int, int, str]:
-    words = [word for some in byte_words((text or "").encode()) for word in some]
-    gone = np.zeros(len(words), bool)
-    for span in spans or ():
-        gone[span["low"] : span["high"]] = True
-    kept = b" ".join(word for word, out in zip(words, gone.tolist()) if not out)
-    return len(words), int(gone.sum()), kept.decode()
+    out = pd.DataFrame({c: np.empty(0, np.int64) for c in ("id", "key", "low", "high")})
+    if not len(phrases) or not len(stream):
+        return out
+    found, numbers = automaton(phrases)
+    if not len(found):
+        return out
+    number = numbers.get
+    codes, texts = pd.factorize(stream["text"])
+    which, lows, highs, firsts = [], [], [], []
+    for code, text in enumerate(texts):  # equal pieces give equal matches
+        for end, (length, first) in found.iter(tuple([number(word, 0) for word in text.split(" ")])):
+            which.append(code)
+            lows.append(end + 1 - length)
+            highs.append(end + 1)
+            firsts.append(first)
+    order = np.argsort(codes, kind="stable")
+    sizes = np.bincount(codes, minlength=len(texts))
+    ends = np.cumsum(sizes)
+    hits = np.array(which, np.int64)
+    # each match of a text goes to all rows with that text
+    rows = order[_ranges(ends[hits] - sizes[hits], sizes[hits])]
+    match = np.repeat(np.arange(len(hits)), sizes[hits])
+    earlier = np.array(firsts, np.int64)[match] < stream["id"].to_numpy()[rows]
+    rows, match = rows[earlier], match[earlier]
+    begin = stream["begin"].to_numpy()[rows]
+    return pd.DataFrame(
+        {
+            "id": stream["id"].to_numpy()[rows],
+            "key": stream["key"].to_numpy()[rows],
+            "low": begin + np.array(lows, np.int64)[match],
+            "high": begin + np.array(highs, np.int64)[match],
+        }
+    )
+
+
+def _located_across(phrases: pd.DataFrame, stream: pd.DataFrame) -> pd.DataFrame:
+    """The same for a part of a crowded shard, joined to one row per document before it is shuffled."""
+    found = _located(phrases, stream).sort_values(["id", "key", "low"], ignore_index=True)
+    if not len(found):
+        return pd.DataFrame({"id": found["id"], "key": found["key"], "lows": [], "highs": []})
+    document = found.groupby(["id", "key"], sort=False).ngroup().to_numpy()
+    low, high = found["low"].to_numpy(), found["high"].to_numpy()
+    # documents far apart on one line: a range starts anew where it lies beyond all before it
+    apart = document * (int(high.max()) + 2)
+    reach = np.maximum.accumulate(high + apart)
+    heads = np.flatnonzero(np.append(True, (low + apart)[1:] > reach[:-1]))
+    ends = reach[np.append(heads[1:], len(low)) - 1] - apart[heads]
+    rows = np.flatnonzero(np.append(True, np.diff(document[heads]) != 0))
+    return pd.DataFrame(
+        {
+            "id": found["id"].to_numpy()[heads[rows]],
+            "key": found["key"].to_numpy()[heads[rows]],
+            "lows": np.split(low[heads], rows[1:]),
+            "highs": np.split(ends, rows[1:]),
+        }
+    )
+
+
+def _located_within(stream: pd.DataFrame) -> pd.DataFrame:
+    """The same for a shard that holds all pieces of its anchors: they are the phrases to confirm."""
+    codes, texts = pd.factorize(stream["text"])
+    ids, some = stream["id"].to_numpy(), np.zeros(len(texts), np.int64)
+    first, last = np.full(len(texts), np.iinfo(np.int64).max), np.full(len(texts), np.iinfo(np.int64).min)
+    np.minimum.at(first, codes, ids)
+    np.maximum.at(last, codes, ids)
+    some[codes] = np.arange(len(codes))
+    anchor = stream["anchor"].to_numpy()[some]
+    return _located(pd.DataFrame({"p_anchor": anchor, "p_text": texts, "p_first": first, "p_last": last}), stream)
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of all ranges, one after the other."""
+    if not len(sizes):
+        return np.empty(0, np.int64)
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _kept(words: list[bytes], lows: list[int], highs: list[int]) -> tuple[int, int, bytes]:
+    kept, at = [], 0
+    for low, high in sorted(zip(lows, highs)):
+        if low > at:
+            kept += words[at:low]
+        at = max(at, high)
+    kept += words[at:]
+    return len(words), len(words) - len(kept), b" ".join(kept)
 
 
 def repeated_ranges(work: Work, docs: DataFrame) -> DataFrame:
-    """``id``, ``key`` and the ``spans`` of words to remove, from ``id``, ``key`` (of the text) and ``text``."""
+    """``id``, ``key`` and the ranges (``lows``, ``highs``) of words to remove, from ``id``, ``key`` (of the text) and ``text``."""
     known = _WordHashes()
 
     @arrow_udf("array<long>")
     def anchors_of(texts: pa.Array) -> pa.Array:
-        return _anchor_lists(texts.to_pylist(), known)
+        words = _words(texts.to_pylist())
+        begins, _, values = anchors(words, known)
+        offsets = np.searchsorted(begins, np.cumsum([0, *map(len, words)]))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
     def pieces_of(batches):
         for batch in batches:
-            ids, keys, found = [], [], []
-            for doc, key, text, recurring in zip(*(batch[c].to_pylist() for c in ("id", "key", "text", "recurring"))):
-                own = _pieces(text, {r["anchor"]: r["crowded"] for r in recurring}, known)
-                ids += [doc] * len(own)
-                keys += [key] * len(own)
-                found += own
-            columns = list(zip(*found)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string()]
-            names = ["id", "key", "anchor", "crowded", "begin", "text"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([ids, keys, *columns], kinds)], names)
+            words = _words(batch["text"].to_pylist())
+            starts = np.cumsum([0, *map(len, words)])
+            begins, ends, values = anchors(words, known)
+            text = np.searchsorted(starts, begins, side="right") - 1
+            # an anchor is looked up among the recurring ones of its own text
+            lists = batch["recurring"]
+            own = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
+            flat = lists.flatten()
+            recurring, crowded = flat.field(0).to_numpy(), flat.field(1).to_numpy(zero_copy_only=False)
+            turn = np.int64(0x1E3779B97F4A7C15)
+            keys = recurring + own * turn
+            order = np.argsort(keys)
+            at = np.searchsorted(keys[order], values + text * turn)
+            at = order[np.minimum(at, len(order) - 1)] if len(order) else np.zeros(len(values), np.int64)
+            hit = np.flatnonzero((recurring[at] == values) & (own[at] == text)) if len(order) else np.empty(0, np.int64)
+            text, low, high = text[hit], begins[hit] - starts[text[hit]], ends[hit] - starts[text[hit]]
+            joined = [b" ".join(words[t][a:b]) for t, a, b in zip(text.tolist(), low.tolist(), high.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["id"].take(pa.array(text)), batch["key"].take(pa.array(text)), pa.array(values[hit]),
+                    pa.array(crowded[at[hit]], pa.bool_()), pa.array(low), pa.array(joined, pa.binary()).cast(pa.string()),
+                ],
+                ["id", "key", "anchor", "crowded", "begin", "text"],
+            )
 
     marks = work.staged(docs.select("id", "key", F.explode(anchors_of("text")).alias("anchor")), "anchors")
     recurring = (
@@ -204,70 +264,85 @@ def repeated_ranges(work: Work, docs: DataFrame) -> DataFrame:
         .select(F.col("anchor").alias("of"), (F.col("n") > CROWD).alias("crowded"))
     )
     candidates = work.staged(
-        marks.join(recurring, F.col("anchor") == F.col("of"), "inner")
+        marks.join(recurring.hint("shuffle_hash"), F.col("anchor") == F.col("of"), "inner")
         .groupBy(F.col("id").alias("of_id"), F.col("key").alias("of_key"))
         .agg(F.collect_list(F.struct("anchor", "crowded")).alias("recurring")),
         "recurring-anchors",
     )
     work.drop(marks)
     own = (F.col("id") == F.col("of_id")) & (F.col("key") == F.col("of_key"))
-    pieces = work.staged(
-        docs.join(candidates, own, "inner").select("id", "key", "text", "recurring").mapInArrow(
+    pieces_table = work.staged(
+        docs.join(candidates.hint("shuffle_hash"), own, "inner").select("id", "key", "text", "recurring").mapInArrow(
             pieces_of, "id long, key long, anchor long, crowded boolean, begin long, text string"
         ),
         "pieces",
     )
-    shards = max(1, -(-pieces.count() // SHARD))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    work.drop(candidates)
+    counts = pieces_table.agg(F.count("*"), F.count_if("crowded")).first()
+    plain, crowded = pieces_table.where("NOT crowded"), pieces_table.where("crowded")
+    ranges = "id long, key long, low long, high long"
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-counts[0] // SHARD))))
+    within = plain.groupBy(shard.alias("shard")).applyInPandas(_located_within, ranges)
+
+    crowded = crowded.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-counts[1] // SHARD)))))
     parts = work.staged(
-        pieces.groupBy(F.col("shard").alias("of_shard")).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "parts"
+        crowded.groupBy(F.col("shard").alias("of_shard")).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "parts"
     )
-    span = [F.min("id").alias("first"), F.max("id").alias("last")]
-    plain = pieces.where("NOT crowded").groupBy("shard", "text").agg(*span)
+    span = [F.min("first").alias("first"), F.max("last").alias("last")]
     windows = F.transform(
         F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.array_join(F.slice("words", i, WINDOW), " ")
     )
-    crowded = (
-        pieces.where("crowded")
-        .select("shard", "id", F.split("text", " ").alias("words"))
-        .select("shard", "id", F.explode(windows).alias("text"))
-        .groupBy("shard", "text")
+    confirmed = (
+        crowded.groupBy("shard", "anchor", "text")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .withColumn("words", F.split("text", " "))
+        .select("shard", "anchor", "first", "last", F.explode(windows).alias("text"))
+        .groupBy("shard", "anchor", "text")
         .agg(*span)
         .where("first < last")
     )
     in_shard = F.col("shard") == F.col("of_shard")
     phrases = (
-        plain.unionByName(crowded)
-        .join(parts, in_shard)
-        .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "text", "first", "last")
-        .select(*[F.col(c).alias(f"p_{c}") for c in ("shard", "part", "text", "first", "last")])
+        confirmed.join(parts, in_shard)
+        .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "anchor", "text", "first", "last")
+        .select(*[F.col(c).alias(f"p_{c}") for c in ("shard", "part", "anchor", "text", "first", "last")])
     )
-    stream = pieces.join(parts, in_shard).select(
-        "shard", F.pmod(F.xxhash64("id", "begin"), F.col("parts")).cast("int").alias("part"), "id", "key", "begin", "text"
+    stream = crowded.join(parts, in_shard).select(
+        "shard", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int").alias("part"), "id", "key", "begin", "text"
     )
-    found = (
+    across = (
         phrases.groupBy("p_shard", "p_part")
         .cogroup(stream.groupBy("shard", "part"))
-        .applyInPandas(_located, "id long, key long, low long, high long")
+        .applyInPandas(_located_across, "id long, key long, lows array<long>, highs array<long>")
+    )
+    found = within.select("id", "key", F.array("low").alias("lows"), F.array("high").alias("highs")).unionByName(across)
+    spans = found.groupBy("id", "key").agg(
+        F.flatten(F.collect_list("lows")).alias("lows"), F.flatten(F.collect_list("highs")).alias("highs")
     )
-    return found.groupBy("id", "key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = work.staged(spans, "removed-words")
+    work.drop(pieces_table)
+    return spans
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc`` (all columns but the text), ``n_words``, ``n_removed`` and ``kept`` (the words left) of every row."""
 
     @arrow_udf("struct<n_words:long,n_removed:long,kept:string>")
-    def kept_of(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        rows = [_kept(*row) for row in zip(texts.to_pylist(), spans.to_pylist())]
+    def kept_of(texts: pa.Array, lows: pa.Array, highs: pa.Array) -> pa.Array:
+        rows = [
+            _kept(words, low or (), high or ())
+            for words, low, high in zip(_words(texts.to_pylist()), lows.to_pylist(), highs.to_pylist())
+        ]
         columns = list(zip(*rows)) or [(), (), ()]
-        kinds = [pa.int64(), pa.int64(), pa.string()]
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["n_words", "n_removed", "kept"])
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        return pa.StructArray.from_arrays([*arrays[:2], arrays[2].cast(pa.string())], ["n_words", "n_removed", "kept"])
 
     work = Work(docs.sparkSession)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).alias("none")]
     plain = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.struct(*others).alias("doc"), F.col(doc_id).cast("long").alias("id"), F.xxhash64(plain).alias("key"), plain.alias("text"))
-    spans = work.staged(repeated_ranges(work, rows.where("id IS NOT NULL").select("id", "key", "text")), "removed-words")
+    spans = repeated_ranges(work, rows.where("id IS NOT NULL").select("id", "key", "text"))
     spans = spans.withColumnsRenamed({"id": "of_id", "key": "of_key"})
     own = (F.col("id") == F.col("of_id")) & (F.col("key") == F.col("of_key"))
-    return rows.join(spans, own, "left").select("doc", kept_of("text", "spans").alias("found")).select("doc", "found.*")
+    return rows.join(spans.hint("shuffle_hash"), own, "left").select("doc", kept_of("text", "lows", "highs").alias("found")).select("doc", "found.*")
