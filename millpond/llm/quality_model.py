@@ -216,9 +216,9 @@ def scored(
     def features_of(texts: list[str | None]) -> np.ndarray:
         return np.array([pooled(word_ids(t, known), vectors.value) for t in texts]).reshape(-1, FEATURES)
 
-    @arrow_udf("array<double>")
+    @arrow_udf("binary")  # a kilobyte a row on the driver, not a list of numbers
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array(features_of(texts.to_pylist()).tolist(), pa.list_(pa.float64()))
+        return pa.array([row.tobytes() for row in features_of(texts.to_pylist())], pa.binary())
 
     chosen = (
         labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
@@ -235,7 +235,8 @@ def scored(
         .select("id", "label", features("text").alias("features"))
     )
     rows = sorted(sample.collect(), key=lambda row: row["id"])
-    network = Network(np.array([r["features"] for r in rows]).reshape(-1, FEATURES), np.array([r["label"] for r in rows]))
+    found = np.frombuffer(b"".join(r["features"] for r in rows)).reshape(-1, FEATURES)
+    network = Network(found, np.array([r["label"] for r in rows]))
 
     @arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
