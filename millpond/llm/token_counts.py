@@ -33,8 +33,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from millpond.llm.common import Work, byte_words
 
-#: At most so many pre-tokens are broadcast, some 30 MB if all were of the full length.
-HEAD = 300_000
+#: At most so many pre-tokens are broadcast, some 50 MB if all were of the full length.
+HEAD = 500_000
 #: Words whose pre-tokens a worker remembers.
 _REMEMBERED = 200_000
 #: Words that need no normalizer: printable ASCII but the apostrophe, and Latin-1 letters.
