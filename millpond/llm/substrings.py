@@ -315,8 +315,9 @@ def repeated_ranges(work: Work, docs: DataFrame) -> DataFrame:
         .cogroup(stream.groupBy("shard", "part"))
         .applyInPandas(_located_across, "id long, key long, lows array<long>, highs array<long>")
     )
-    found = within.select("id", "key", F.array("low").alias("lows"), F.array("high").alias("highs")).unionByName(across)
-    spans = found.groupBy("id", "key").agg(
+    # single ranges are gathered per document before they meet the lists: arrays of one would be large rows
+    gathered = within.groupBy("id", "key").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    spans = gathered.unionByName(across).groupBy("id", "key").agg(
         F.flatten(F.collect_list("lows")).alias("lows"), F.flatten(F.collect_list("highs")).alias("highs")
     )
     spans = work.staged(spans, "removed-words")
