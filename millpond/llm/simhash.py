@@ -1,7 +1,8 @@
 """Operator 7: near-duplicates by SimHash, compared in bit slices.
 
 A fingerprint has a bit set if it is set in over half of the hashes of the
-document's word shingles. Equal fingerprints become one node. Nodes that may
+document's word shingles; a shingle counts as often as it occurs, or once
+(``distinct``). Equal fingerprints become one node. Nodes that may
 be within the radius meet in buckets: either keys of whole blocks of bits,
 chosen so that no pair within the radius can be missed (``block_tables``), or
 samples of bits, enough of them to find a pair at the radius with a stated
@@ -14,6 +15,10 @@ abandoned once all its distances exceed the radius. Tasks give at most one
 link per node, to the first of its group, never all pairs. Connected
 components come from rounds of star contraction over staged links.
 
+``deduplicated`` takes these components as candidates only: inside each of
+them, pairs within the radius are linked if the Jaccard similarity of their
+sets of shingles, computed exactly, is high enough.
+
 Defined cases: fewer words than a shingle make one shingle; no words make the
 fingerprint zero, linked like any other; NULL texts count as empty; repeated
 rows and equal texts share a node; a NULL identifier is never the smallest of
@@ -38,6 +43,8 @@ from millpond.llm.common import Work, byte_words
 
 #: Nodes of a tile; a task compares two tiles at most.
 TILE = 2048
+#: Shingles of a tile in which sets are compared.
+SET_TILE = 1 << 20
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -71,10 +78,19 @@ def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text or "", words)]))
+
+
 def fingerprint(text: str | None, words: int, lanes: int) -> bytes:
     """8 bytes per lane, the highest bit first."""
+    return _majority(shingle_hashes(text or "", words), lanes)
+
+
+def _majority(parts, lanes: int) -> bytes:
     total, counts = 0, np.zeros((lanes, 64), np.int64)
-    for hashes in shingle_hashes(text or "", words):
+    for hashes in parts:
         total += len(hashes)
         for start in range(0, len(hashes), 1 << 14):
             some = hashes[start : start + (1 << 14)]
@@ -286,7 +302,7 @@ def components(work: Work, edges: DataFrame) -> DataFrame:
 
 
 def _named(
-    docs: DataFrame, words: int, lanes: int, radius: int, agreement: float | None, doc_id: str, text: str, keep_text: bool
+    docs: DataFrame, words: int, lanes: int, radius: int, agreement: float | None, doc_id: str, text: str
 ) -> tuple[DataFrame, DataFrame]:
     """The rows (``row``, ``doc``, ``id``, ``print``) and the component of each fingerprint (``of_print``)."""
 
@@ -295,7 +311,7 @@ def _named(
         return pa.array([fingerprint(t, words, lanes) for t in texts.to_pylist()], pa.binary())
 
     work = Work(docs.sparkSession)
-    kept = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text] or [F.lit(None).alias("none")]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).alias("none")]
     found = docs.select(F.struct(*kept).alias("doc"), F.col(doc_id).alias("id"), print_of(F.col(text)).alias("print"))
     found = work.staged(found.withColumn("row", F.monotonically_increasing_id()), "prints")
     nodes = work.staged(
@@ -328,29 +344,139 @@ def near_duplicates(
     The component is named by its smallest identifier. With an ``agreement``
     the buckets come from sampled bits, which find a pair that agrees in that
     share of the bits with probability 0.97; with None they are exact. The
-    defaults (five words, 512 bits, radius 86) stand for a similarity of 0.8 or
-    more: shingle sets with Jaccard 0.8 differ in 512 * acos(0.89) / pi = 78
-    bits on average, with a deviation of 8.
+    fingerprints alone decide, and a shingle weighs as often as it occurs.
     """
-    found, named = _named(docs, words, lanes, radius, agreement, doc_id, text, False)
+    found, named = _named(docs, words, lanes, radius, agreement, doc_id, text)
     return found.join(named, F.col("print") == F.col("of_print"), "inner").select(
         "doc", F.col("print").alias("fingerprint"), "component_id"
     )
 
 
+# exact similarity
+
+
+def alike(prints: np.ndarray, sets: list[np.ndarray], radius: int, jaccard: float) -> np.ndarray:
+    """For each node the first one it is connected with by pairs within the radius and of that Jaccard similarity.
+
+    A connected group is collected from its first node; only nodes that have no
+    group yet are compared with its members.
+    """
+    wide = np.ascontiguousarray(prints).view(np.uint64)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    group, left = np.arange(len(sets)), np.arange(len(sets))
+    while len(left):
+        first, left = left[0], left[1:]
+        queue = [first]
+        while queue and len(left):
+            at = queue.pop()
+            near = np.bitwise_count(wide[left] ^ wide[at]).sum(axis=1) <= radius
+            # sets of too different a size cannot be alike
+            near &= np.minimum(sizes[left], sizes[at]) >= jaccard * np.maximum(sizes[left], sizes[at]) - 1e-9
+            near &= sizes[left] > 0
+            some = left[near]
+            if not len(some):
+                continue
+            hashes = np.concatenate([sets[n] for n in some])
+            place = np.minimum(np.searchsorted(sets[at], hashes), sizes[at] - 1)
+            starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+            shared = np.add.reduceat((sets[at][place] == hashes).astype(np.int64), starts)
+            same = some[shared >= jaccard * (sizes[some] + sizes[at] - shared) - 1e-9]
+            group[same] = first
+            queue += list(same)
+            left = np.setdiff1d(left, same, assume_unique=True)
+    return group
+
+
+def _alike_links(batches, words: int, radius: int, jaccard: float):
+    """Links (a, b) inside each group of rows (root, low, high, node, print, text) that follow each other."""
+
+    def links(nodes: list[int], prints: list[bytes], sets: list[np.ndarray]):
+        first = alike(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1), sets, radius, jaccard)
+        ids = np.array(nodes, np.int64)
+        a, b = ids, ids[first]
+        a, b = a[a != b], b[a != b]
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    of, nodes, prints, sets = None, [], [], []
+    for batch in batches:
+        columns = [batch[c].to_pylist() for c in ("root", "low", "high", "node", "print", "text")]
+        for *key, node, fp, text in zip(*columns):
+            if key != of:
+                if len(nodes) > 1:
+                    yield links(nodes, prints, sets)
+                of, nodes, prints, sets = key, [], [], []
+            nodes.append(node)
+            prints.append(fp)
+            sets.append(shingle_set(text, words))
+    if len(nodes) > 1:
+        yield links(nodes, prints, sets)
+
+
+def confirmed_links(
+    work: Work, members: DataFrame, words: int, radius: int, jaccard: float, tile: int = SET_TILE, most: int = TILE
+) -> DataFrame:
+    """Links (a > b) that connect the ``members`` (root, node, print, n_shingles, text) of each root that are alike.
+
+    A candidate component with more shingles or nodes than a tile is cut, and
+    each pair of its tiles is compared on its own, so that every pair meets.
+    """
+    tiles = F.greatest(F.ceil(F.sum("n_shingles") / tile), F.ceil(F.count("*") / most)).cast("int")
+    cut = members.groupBy(F.col("root").alias("in_root")).agg(tiles.alias("tiles"))
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    tiled = members.join(cut, F.col("root") == F.col("in_root")).select(
+        "root", "node", "print", "text", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+    )
+    group = ["root", "low", "high"]
+    paired = tiled.select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "print", "text")
+    dealt = paired.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(lambda batches: _alike_links(batches, words, radius, jaccard), "a long, b long").distinct()
+
+
 def deduplicated(
     docs: DataFrame,
     words: int = 5,
     lanes: int = 8,
     radius: int = 86,
-    agreement: float | None = 0.85,
+    agreement: float = 0.85,
+    jaccard: float = 0.8,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row of each group of near-duplicates, that of its smallest identifier (NULL is the largest)."""
-    found, named = _named(docs, words, lanes, radius, agreement, doc_id, text, True)
-    narrow = found.select("row", "id", "print").join(named, F.col("print") == F.col("of_print"), "inner")
-    first = narrow.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    """One row of each group of near-duplicates, that of its smallest identifier (NULL is the largest).
+
+    Groups are connected by pairs whose sets of shingles have the Jaccard
+    similarity or more, computed exactly. Fingerprints of the sets only name the
+    candidates: pairs within the radius that meet in a table of sampled bits.
+    """
+
+    @arrow_udf("struct<print:binary,same:binary,n_shingles:long>")
+    def set_of(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts.to_pylist():
+            own = shingle_set(t, words)
+            rows.append({"print": _majority([own], lanes), "same": xxhash.xxh3_128_digest(own.tobytes()), "n_shingles": len(own)})
+        kind = pa.struct([("print", pa.binary()), ("same", pa.binary()), ("n_shingles", pa.int64())])
+        return pa.array(rows, kind)
+
+    work = Work(docs.sparkSession)
+    found = docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), F.col(text).alias("text"), set_of(F.col(text)).alias("set"))
+    found = work.staged(found.select("doc", "id", "set.*").withColumn("row", F.monotonically_increasing_id()), "prints")
+    # equal sets are one node
+    nodes = work.staged(
+        found.groupBy("print", "same", "n_shingles")
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "nodes",
+    )
+    tables = sampled_tables(64 * lanes, nodes.count(), agreement)
+    roots = work.staged(components(work, links(work, nodes.select("node", "print"), tables, radius)), "candidates")
+    grouped = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    members = grouped.select(F.col("node").alias("of"), "root").join(nodes, F.col("of") == F.col("node"))
+    members = members.select("root", "node", "print", "n_shingles", F.col("first.row").alias("of_row"))
+    texts = found.select("row", F.col(f"doc.`{text}`").alias("text"))
+    members = texts.join(members, F.col("row") == F.col("of_row")).select("root", "node", "print", "n_shingles", "text")
+    roots = components(work, confirmed_links(work, members, words, radius, jaccard))
+    rooted = nodes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+    first = rooted.groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
     stays = first.select(F.col("first.row").alias("of_row"))
-    # the texts move once
     return found.join(stays, F.col("row") == F.col("of_row"), "left_semi").select("doc.*")

@@ -292,6 +292,42 @@ def test_long_chains_are_one_component(spark):
     assert roots == {i: 0 for i in range(1, 201)} | {500: 400}
 
 
+def test_near_duplicates_are_confirmed_by_their_shingles(spark):
+    rng = random.Random(9)
+
+    def text(n):
+        return " ".join(f"w{rng.getrandbits(40)}" for _ in range(n))
+
+    def own_words(line):
+        return f"{text(304)} " + f"{line} " * 20
+
+    line, one = text(10), text(400)
+    cases = [(1, own_words(line)), (2, own_words(line))]  # a repeated line is all they share
+    cases += [(3, one), (4, f"{one} " + f"{one[:200]} " * 30)]  # a copy, and the copy with a line repeated
+    cases += [(5, one.upper()), (6, None), (7, "")]
+    found = simhash.deduplicated(spark.createDataFrame(cases, "doc_id long, text string"))
+    assert {r.doc_id for r in found.collect()} == {1, 2, 3, 6}
+
+
+def test_sets_in_tiles_link_what_pairs_would(spark):
+    from millpond.llm.common import Work
+
+    rng = random.Random(10)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[a : a + rng.randint(15, 40)]) for a in (rng.randint(0, 20) for _ in range(60))]
+    sets = [set(simhash.shingle_set(t, 2).tolist()) for t in texts]
+    rows = [(7, i, bytearray(8), len(sets[i]), t) for i, t in enumerate(texts)]
+    members = spark.createDataFrame(rows, "root long, node long, print binary, n_shingles long, text string")
+    label = list(range(60))
+    for _ in range(60):
+        label = [min(label[j] for j in range(60) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(60)]
+    for most in (7, 100):
+        work = Work(spark)
+        edges = simhash.confirmed_links(work, members, 2, 0, 0.8, most=most)
+        roots = {r.node: r.root for r in simhash.components(work, edges).collect()}
+        assert [roots.get(i, i) for i in range(60)] == label
+
+
 def test_quality_rules(docs, spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (4, None), (None, 1)], "doc_id long, quality int")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
