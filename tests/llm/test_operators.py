@@ -309,6 +309,22 @@ def test_near_duplicates_are_confirmed_by_their_shingles(spark):
     assert {r.doc_id for r in found.collect()} == {1, 2, 3, 6}
 
 
+def test_isolated_pairs_at_the_threshold_are_found(spark):
+    rng = random.Random(11)
+
+    def words(n):
+        return [f"w{rng.getrandbits(40)}" for _ in range(n)]
+
+    cases = []
+    for pair in range(400):
+        # 396 shingles each: 352 of 440 in common, or 351 of 441
+        one, other = words(400), 44 if pair < 300 else 45
+        cases += [(2 * pair, " ".join(one)), (2 * pair + 1, " ".join(one[:-other] + words(other)))]
+    kept = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
+    assert sum(2 * pair + 1 in kept for pair in range(300)) <= 4  # 0.84 were found within 86 bits
+    assert all(2 * pair + 1 in kept for pair in range(300, 400)) and all(2 * pair in kept for pair in range(400))
+
+
 def test_sets_in_tiles_link_what_pairs_would(spark):
     from millpond.llm.common import Work
 
