@@ -3,13 +3,14 @@
 DataFrame functions only. Emails, addresses, cards and phones are found by
 fixed patterns; these spans are never dropped. Beyond them, terms are judged
 by information theory over the whole corpus: of each protected entity (a found
-value) the terms within a few words of it are counted, and of each such term
-the documents that hold it anywhere. The surprise of the entity given the term,
--log2 p(entity | term), is what the term leaves undisclosed. Where it leaves
-at most ``GENERALISED`` bits, the term is replaced by its kind wherever it
-occurs; at most ``REMOVED`` bits, it is removed. A term must stand near the
-entity in ``SUPPORT`` documents with different contexts, so that copies of one
-text prove nothing, and tell at least ``TOLD`` bits.
+value) the documents that hold it are counted, of each term those that hold
+it, and of both those that hold both, anywhere. The surprise of the entity
+given the term, -log2 p(entity | term), is what the term leaves undisclosed.
+Where it leaves at most ``GENERALISED`` bits, the term is replaced by its kind
+wherever it occurs; at most ``REMOVED`` bits, it is removed. A term must share
+``SUPPORT`` documents with the entity in which the entity's surroundings differ,
+so that copies of one text prove nothing, and tell at least ``TOLD`` bits.
+Repeated rows count as one document in all three counts.
 
 Defined cases: NULL counts as an empty text and stays NULL; matches that fail their
 test are dropped without another try; a NULL identifier is an identifier of its
@@ -37,8 +38,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: A term: letters, with marks, apostrophes and hyphens inside.
 TERM = r"\p{L}[\p{L}\p{M}'’-]*+"
 
-#: Words to each side of an entity, and the characters in which they are looked for.
-NEAR, CONTEXT = 5, 120
+#: Characters to each side of an entity by which its surroundings are told apart.
+CONTEXT = 120
 SUPPORT, TOLD, GENERALISED, REMOVED = 2, 3.0, 1.0, 0.15
 #: Buckets of the hashed terms, which bounds the broadcast filter.
 BUCKETS = 1 << 16
@@ -124,40 +125,61 @@ def _terms(text: Column) -> Column:
 
 
 def disclosing_terms(work: Work, texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """``term`` and the bits it leaves, for the terms that disclose an entity."""
+    """``term`` and the bits it leaves, for the terms that disclose an entity.
+
+    At most ``GENERALISED`` bits left means with_term <= 2 ** GENERALISED * with_entity,
+    and ``TOLD`` bits told means that neither is in more than total / 2 ** TOLD
+    documents: terms and entities that cannot pass are gone before they are paired.
+    """
+    document = ["id", "key"]
+    counted = work.staged(texts.groupBy(*document).agg(F.count("*").alias("copies")), "documents")
+    total, repeated = counted.agg(F.count("*"), F.max("copies")).first()
+    most = (total or 0) / 2**TOLD
+
     entity = F.xxhash64("kind", "value")
-    before, after = _terms(F.col("before")), _terms(F.col("after"))
-    # the words at the cut ends of the context are not whole
-    near = F.concat(
-        F.slice(F.reverse(F.when(F.length("before") < CONTEXT, before).otherwise(F.slice(before, 2, CONTEXT))), 1, NEAR),
-        F.slice(F.when(F.length("after") < CONTEXT, after).otherwise(F.slice(F.reverse(F.slice(F.reverse(after), 2, CONTEXT)), 1, CONTEXT)), 1, NEAR),
-    )
-    seen = spans.select("id", "key", entity.alias("entity"), F.xxhash64("before", "after").alias("context"), F.explode(F.array_distinct(near)).alias("term"))
-    # one context per document: neither copies nor repeated lines count as more
-    by_document = seen.groupBy("term", "entity", "id", "key").agg(F.min("context").alias("context"))
-    pairs = work.staged(
-        by_document.groupBy("term", "entity")
-        .agg(F.countDistinct("context").alias("contexts"), F.count("*").alias("together"))
-        .where(F.col("contexts") >= SUPPORT)
-        .drop("contexts"),
-        "term-entities",
-    )
-    entities = spans.groupBy(entity.alias("of_entity")).agg(F.countDistinct("id", "key").alias("with_entity"))
-    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
-    buckets = pairs.select(bucket.alias("of_bucket")).distinct()  # at most BUCKETS rows
-    held = (
-        texts.select("id", "key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-        .join(F.broadcast(buckets), bucket == F.col("of_bucket"), "left_semi")
-        .groupBy(F.col("term").alias("of_term"))
-        .agg(F.count("*").alias("with_term"))
+    # one context per document: repeated lines do not count as more
+    entities = spans.select(*document, entity.alias("entity"), F.xxhash64("before", "after").alias("context")).groupBy(
+        *document, "entity"
+    ).agg(F.min("context").alias("context"))
+    known = (
+        entities.groupBy(F.col("entity").alias("of_entity"))
+        .agg(F.count("*").alias("with_entity"), F.countDistinct("context").alias("contexts"))
+        .where((F.col("contexts") >= SUPPORT) & (F.col("with_entity") <= most))
+        .drop("contexts")
+    )
+    entities = work.staged(entities.join(known, F.col("entity") == F.col("of_entity")).drop("of_entity"), "entity-documents")
+    widest = entities.agg(F.max("with_entity")).first()[0] or 0
+
+    each = F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")
+    held = texts.select(F.lit(1).alias("weight"), each)
+    if (repeated or 1) > 1:
+        copies = counted.where("copies > 1").select(F.col("id").alias("of_id"), F.col("key").alias("of_key"), "copies")
+        same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
+        again = texts.join(copies, same).dropDuplicates(document).select((1 - F.col("copies")).cast("int").alias("weight"), each)
+        held = held.unionByName(again)
+    held = work.staged(
+        held.groupBy(F.col("term").alias("of_term"))
+        .agg(F.sum("weight").alias("with_term"))
+        .where(F.col("with_term").between(SUPPORT, min(most, 2**GENERALISED * widest))),
+        "term-documents",
     )
-    total = texts.count()
-    told = F.log2(F.col("together") * F.lit(float(total)) / (F.col("with_term") * F.col("with_entity")))
+    holders = entities.select(F.col("id").alias("of_id"), F.col("key").alias("of_key")).distinct()
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
+    rare = (
+        texts.join(holders, same, "left_semi")
+        .select(*document, each)
+        .join(held, F.col("term") == F.col("of_term"))
+        .select(F.col("id").alias("of_id"), F.col("key").alias("of_key"), "term", "with_term")
+        .distinct()
+    )
+    paired = entities.join(rare, same).where(F.col("with_term") <= 2**GENERALISED * F.col("with_entity"))
+    pairs = paired.groupBy("term", "entity", "with_term", "with_entity").agg(
+        F.countDistinct("context").alias("contexts"), F.count("*").alias("together")
+    )
+    told = F.log2(F.col("together") * F.lit(float(total or 0)) / (F.col("with_term") * F.col("with_entity")))
     left = F.log2(F.col("with_term") / F.col("together"))
     return (
-        pairs.join(entities, F.col("entity") == F.col("of_entity"))
-        .join(held, F.col("term") == F.col("of_term"))
-        .where((told >= TOLD) & (left <= GENERALISED))
+        pairs.where((F.col("contexts") >= SUPPORT) & (told >= TOLD) & (left <= GENERALISED))
         .groupBy("term")
         .agg(F.min(left).alias("left"))
     )

@@ -212,6 +212,22 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert found[500] == "copied Passage by [EMAIL] again and again" and found[150] == "words here wrote about 50"
 
 
+def test_terms_far_from_an_entity_are_judged_by_document(spark):
+    far = " ".join(f"words here {i}" for i in range(100))
+    # in all ten documents of the entity, near it in four of them, and far off in the others
+    cases = [(i, f"{'Zoltan ' if i < 4 else ''}wrote zq@mail.example.org no {i} {far} {'' if i < 4 else 'Zoltan'}") for i in range(10)]
+    # only ever far off
+    cases += [(20 + i, f"note {i} by far@mail.example.org {far} Quentin") for i in range(3)]
+    # a term in six documents, three of them with the entity: 1 bit is left, also if rows repeat
+    cases += [(30 + i, f"line {i} {'from ab@mail.example.org ' if i < 3 else ''}{far} Ulrike") for i in range(6)]
+    cases += [cases[-1]] * 5
+    cases += [(100 + i, f"words here wrote no note by line from {i}") for i in range(300)]
+    found = dict(texts(pii.sanitised(spark.createDataFrame(cases, "doc_id long, text string"))))
+    assert found[0] == f" wrote [EMAIL] no 0 {far} " and found[9] == f"wrote [EMAIL] no 9 {far} "
+    assert found[22] == f"note 2 by [EMAIL] {far} " and found[31] == f"line 1 from [EMAIL] {far} [NAME]"
+    assert found[35] == f"line 5 {far} [NAME]" and found[150] == cases[-250][1]
+
+
 def test_token_counts(docs):
     tokenizer = Tokenizer.from_file(PIECES)
     got = Counter(collected(token_counts.count_tokens(docs, PIECES), "doc.doc_id", "n_tokens"))
