@@ -6,7 +6,9 @@ kept, and the gaps between them are aligned in the same way. The coverage is
 the share of the template's words that are aligned. A long text is aligned in
 overlapping windows of three times the template, so that an occurrence lies
 whole in one of them. A window is passed over only if the words it shares with
-the template cannot reach the wanted coverage.
+the template cannot reach the wanted coverage. Copies that follow each other
+make all words of such a window ambiguous; so windows of one length are aligned
+too, wherever words that occur once in the template agree on a start.
 
 Defined cases: NULL and empty texts have no matches; of overlapping matches of
 one template the one of higher coverage, then the earlier one, is kept;
@@ -134,6 +136,14 @@ def _densest(pairs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
     return max(groups, key=len)
 
 
+def _starts(words: list[str], template: list[str], places: dict[str, list[int]]) -> list[int]:
+    """Where the template may start in the text: starts on which several of its unambiguous words agree."""
+    once = Counter(template)
+    votes = Counter(at - i for i, word in enumerate(template) if once[word] == 1 for at in places.get(word, ()))
+    enough = max(min(2, len(template)), len(template) // 8)
+    return sorted(start for start, n in votes.items() if n >= enough)
+
+
 def matches(text: str | None, templates: dict[str, list[str]], coverage: float) -> list[tuple[str, int, int, float]]:
     """(template, start, end, coverage) of the license texts in a text; positions in code points."""
     lower = (text or "").lower()
@@ -148,23 +158,31 @@ def matches(text: str | None, templates: dict[str, list[str]], coverage: float)
         if spans is None:
             spans = [m.span() for m in _WORD.finditer(lower)]
             words = [lower[a:b] for a, b in spans]
-        size, own = len(template), []
+            places: dict[str, list[int]] = {}
+            for at, word in enumerate(words):
+                places.setdefault(word, []).append(at)
+        size, windows = len(template), []
         for low in range(0, len(words), size):
             window = words[low : low + 3 * size]
             here = set(window)
             if sum(word in here for word in template) < need:
                 continue
             # a second occurrence in the window makes words ambiguous: also look at its parts
-            for begin, end in ((0, 3 * size), (0, 2 * size), (size, 3 * size)):
-                pairs = _densest(aligned(window[begin:end], template), size)
-                if len(pairs) < need or len(pairs) < DENSITY * (pairs[-1][0] - pairs[0][0] + 1):
-                    continue
-                first, last = low + begin + pairs[0][0], low + begin + pairs[-1][0]
-                own.append((-len(pairs) / size, spans[first][0], spans[last][1]))
+            windows += [(low + begin, low + end) for begin, end in ((0, 3 * size), (0, 2 * size), (size, 3 * size))]
+        starts = _starts(words, template, places)
+        windows += [(max(low, 0), low + length) for low in starts for length in (size, size + max(1, size // 4))]
+        own = set()
+        for begin, end in windows:
+            pairs = _densest(aligned(words[begin:end], template), size)
+            if len(pairs) < need or len(pairs) < DENSITY * (pairs[-1][0] - pairs[0][0] + 1):
+                continue
+            first, last = begin + pairs[0][0], begin + pairs[-1][0]
+            own.add((-len(pairs) / size, spans[first][0], spans[last][1]))
         taken: list[tuple[int, int]] = []
-        for share, start, end in sorted(set(own)):
-            if all(end <= a or b <= start for a, b in taken):
-                taken.append((start, end))
+        for share, start, end in sorted(own):
+            at = bisect_left(taken, (start, end))
+            if (at == len(taken) or end <= taken[at][0]) and (not at or taken[at - 1][1] <= start):
+                taken.insert(at, (start, end))
                 found.append((name, start, end, -share))
     return sorted(found, key=lambda m: (m[1], m[0]))
 

@@ -142,6 +142,18 @@ def test_license_survives_edits():
     assert [m[0] for m in found] == ["mit"] and 0.8 <= found[0][3] < 1
 
 
+def test_copies_back_to_back_are_all_found():
+    words = {n: licenses._WORD.findall(t.lower()) for n, t in licenses.TEMPLATES.items()}
+    for name in ("all-rights-reserved", "mit-line", "isc", "bsd-2-clause"):
+        for offset in (0, 1, 2, 5):
+            for count in (4, 50):
+                text = "x " * offset + " ".join([licenses.TEMPLATES[name]] * count)
+                found = [m for m in licenses.matches(text, words, 0.8) if m[0] == name]
+                length = len(licenses.TEMPLATES[name])
+                starts = [2 * offset + i * (length + 1) for i in range(count)]
+                assert [(m[1], m[3]) for m in found] == [(at, 1.0) for at in starts]
+
+
 def test_quality_model(docs, spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, 1), (4, None), (None, 1), (7, 1), (9, 0)], "doc_id long, quality int")
     for known in (labels, labels.limit(0)):
