@@ -10,8 +10,14 @@ the template cannot reach the wanted coverage. Copies that follow each other
 make all words of such a window ambiguous; so windows of one length are aligned
 too, wherever words that occur once in the template agree on a start.
 
+Words that tell licenses apart count for more: the family (``FAMILIES``), the
+version in a template's name, variants (``VARIANTS``) and ``DECISIVE`` words must
+be aligned, and no other variant may stand inside the match. Full license texts
+are recognised by their headings, whose span alone is given.
+
 Defined cases: NULL and empty texts have no matches; of overlapping matches of
-one template the one of higher coverage, then the earlier one, is kept;
+all templates the one with most aligned words, then of higher coverage, then the
+earlier one, is kept; version numbers count as equal with or without v and .0;
 repeated rows are scanned one by one; an empty table gives an empty result;
 further columns travel in ``doc``, which holds all but the text.
 """
@@ -75,11 +81,117 @@ TEMPLATES = {
     ),
 }
 
+_GNU_REST = (
+    " in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+    " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+)
+_VERBATIM = (
+    " Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license"
+    " document, but changing it is not allowed."
+)
+for _name, _title, _version, _work in (
+    ("gpl-2.0", "GNU General Public License", "2", "program"),
+    ("lgpl-2.0", "GNU Library General Public License", "2", "library"),
+    ("lgpl-2.1", "GNU Lesser General Public License", "2.1", "library"),
+    ("lgpl-3.0", "GNU Lesser General Public License", "3", "program"),
+    ("agpl-3.0", "GNU Affero General Public License", "3", "program"),
+):
+    TEMPLATES[f"{_name}-line"] = f"This work is licensed under the {_title}, version {_version}."
+    TEMPLATES[f"{_name}-notice"] = (
+        f"This {_work} is free software; you can redistribute it and/or modify it under the terms of the {_title} as"
+        f" published by the Free Software Foundation; either version {_version} of the License, or (at your option)"
+        f" any later version. This {_work} is distributed{_GNU_REST}"
+    )
+for _name, _heading in (
+    ("gfdl-1.2", "GNU Free Documentation License Version 1.2, November 2002 Copyright (C) 2000, 2001, 2002"),
+    ("gfdl-1.3", "GNU Free Documentation License Version 1.3, 3 November 2008 Copyright (C) 2000, 2001, 2002, 2007, 2008"),
+    ("gpl-1.0", "GNU General Public License Version 1, February 1989 Copyright (C) 1989"),
+    ("gpl-2.0", "GNU General Public License Version 2, June 1991 Copyright (C) 1989, 1991"),
+    ("gpl-3.0", "GNU General Public License Version 3, 29 June 2007 Copyright (C) 2007"),
+    ("lgpl-2.0", "GNU Library General Public License Version 2, June 1991 Copyright (C) 1991"),
+    ("lgpl-2.1", "GNU Lesser General Public License Version 2.1, February 1999 Copyright (C) 1991, 1999"),
+    ("lgpl-3.0", "GNU Lesser General Public License Version 3, 29 June 2007 Copyright (C) 2007"),
+    ("agpl-3.0", "GNU Affero General Public License Version 3, 19 November 2007 Copyright (C) 2007"),
+):
+    TEMPLATES[f"{_name}-text"] = _heading + _VERBATIM
+for _short, _long in (
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+):
+    for _version, _kind in (("3.0", "Unported"), ("4.0", "International")):
+        _name = f"cc-{_short.lower()}-{_version}"
+        _line, _notice = f"Licensed under CC {_short} {_version}.", f"This work is licensed under a Creative Commons {_long} {_version} {_kind} License."
+        if _line not in TEMPLATES.values():
+            TEMPLATES[f"{_name}-short-line"] = _line
+        if _notice not in TEMPLATES.values():
+            TEMPLATES[f"{_name}-long-line"] = _notice
+TEMPLATES |= {
+    "apache-1.1-line": "Licensed under the Apache License, Version 1.1.",
+    "apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE,"
+        " REPRODUCTION, AND DISTRIBUTION"
+    ),
+    "bsd-3-clause": TEMPLATES["bsd-2-clause"] + (
+        " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission."
+    ),
+    "cc0-1.0-line": "Licensed under CC0 1.0.",
+    "cc0-1.0-notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to"
+        " this work under CC0 1.0 Universal."
+    ),
+    "cc0-1.0-text": (
+        "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related"
+        " Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original"
+        " work of authorship and/or a database (each, a \"Work\")."
+    ),
+    "mpl-2.0-text": (
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity"
+        " that creates, contributes to the creation of, or owns Covered Software."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled"
+        " binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+}
+
+#: Words that name a family or a variant of a license.
+FAMILIES = {"apache", "mit", "gnu", "mozilla", "creative", "cc", "cc0"}
+VARIANTS = {"lesser", "affero", "sharealike", "share-alike", "noncommercial", "non-commercial", "noderivatives", "noderivs", "sa", "nc", "nd"}
+VARIANTS |= {f"{first}-{v}" for first in ("by", "attribution") for v in ("sa", "nc", "nd", "nc-sa", "nc-nd", "sharealike", "noncommercial", "noderivatives", "noderivs", "noncommercial-sharealike", "noncommercial-noderivatives", "noncommercial-noderivs")}
+#: Further words without which a text is not that license.
+DECISIVE = {"bsd-3-clause": {"neither", "endorse"}, "unlicense": {"unencumbered"}, "cc-by-4.0-line": {"attribution"}}
+_VERSION = re.compile(r"v?\.?(\d+(?:\.\d+)*?)(?:\.0)?")
+
 _WORD = re.compile(r"[^\W_]+(?:[-.'][^\W_]+)*")
 #: Matched words per word of the aligned stretch of the text, at least.
 DENSITY = 0.6
 
 
+def _plain(word: str) -> str:
+    """A version without v and .0, other words as they are."""
+    found = word[-1] in "0123456789" and _VERSION.fullmatch(word)
+    return found[1] if found else word
+
+
+def _is_variant(words: list[str], at: int) -> bool:
+    """Whether a word names a variant; a library and what is free do so in the title only."""
+    return words[at] in VARIANTS or words[at : at + 2] in (["library", "general"], ["free", "documentation"])
+
+
+def _must(name: str, template: list[str]) -> set[int]:
+    """Positions of the words of a template that tell it from other licenses."""
+    version = re.search(r"-(\d+\.\d+)(?=-|$)", name)
+    named = {_plain(version[1])} if version else set()
+    at = {i for i, w in enumerate(template) if w in FAMILIES or _is_variant(template, i) or w in DECISIVE.get(name, ())}
+    return at | {i for i, w in enumerate(template) if w in named and w not in template[:i]}
+
+
 def _longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest subsequence of pairs, sorted by the first, that increases in the second."""
     tops: list[int] = []
@@ -144,20 +256,32 @@ def _starts(words: list[str], template: list[str], places: dict[str, list[int]])
     return sorted(start for start, n in votes.items() if n >= enough)
 
 
+def prepared(templates: dict[str, list[str]]) -> list[tuple[str, list[str], set[int], set[str]]]:
+    """Of each template the name, the words, the positions that must be aligned, and their words."""
+    plain = {name: [_plain(word) for word in template] for name, template in templates.items()}
+    must = {name: _must(name, template) for name, template in plain.items()}
+    return [(name, words, must[name], {words[i] for i in must[name]}) for name, words in plain.items()]
+
+
 def matches(text: str | None, templates: dict[str, list[str]], coverage: float) -> list[tuple[str, int, int, float]]:
     """(template, start, end, coverage) of the license texts in a text; positions in code points."""
+    return found_in(text, prepared(templates), coverage)
+
+
+def found_in(text: str | None, templates: list, coverage: float) -> list[tuple[str, int, int, float]]:
+    """``matches`` with templates that are ``prepared``."""
     lower = (text or "").lower()
     if len(lower) != len(text or ""):  # a few letters change their length: leave those alone
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    present = set(_WORD.findall(lower))
-    found, spans, words = [], None, []
-    for name, template in templates.items():
+    present = set(map(_plain, _WORD.findall(lower)))
+    own, spans, words = set(), None, []
+    for name, template, must, telling in templates:
         need = coverage * len(template)
-        if sum(word in present for word in template) < need:
+        if not telling <= present or sum(word in present for word in template) < need:
             continue
         if spans is None:
             spans = [m.span() for m in _WORD.finditer(lower)]
-            words = [lower[a:b] for a, b in spans]
+            words = [_plain(lower[a:b]) for a, b in spans]
             places: dict[str, list[int]] = {}
             for at, word in enumerate(words):
                 places.setdefault(word, []).append(at)
@@ -171,32 +295,35 @@ def matches(text: str | None, templates: dict[str, list[str]], coverage: float)
             windows += [(low + begin, low + end) for begin, end in ((0, 3 * size), (0, 2 * size), (size, 3 * size))]
         starts = _starts(words, template, places)
         windows += [(max(low, 0), low + length) for low in starts for length in (size, size + max(1, size // 4))]
-        own = set()
         for begin, end in windows:
             pairs = _densest(aligned(words[begin:end], template), size)
             if len(pairs) < need or len(pairs) < DENSITY * (pairs[-1][0] - pairs[0][0] + 1):
                 continue
-            first, last = begin + pairs[0][0], begin + pairs[-1][0]
-            own.add((-len(pairs) / size, spans[first][0], spans[last][1]))
-        taken: list[tuple[int, int]] = []
-        for share, start, end in sorted(own):
-            at = bisect_left(taken, (start, end))
-            if (at == len(taken) or end <= taken[at][0]) and (not at or taken[at - 1][1] <= start):
-                taken.insert(at, (start, end))
-                found.append((name, start, end, -share))
+            if not must <= {j for _, j in pairs}:
+                continue
+            first, last, inside = begin + pairs[0][0], begin + pairs[-1][0], {begin + i for i, _ in pairs}
+            if any(at not in inside and _is_variant(words, at) for at in range(first, last + 1)):
+                continue
+            own.add((-len(pairs), -len(pairs) / size, spans[first][0], spans[last][1], name))
+    found, taken = [], []
+    for _, share, start, end, name in sorted(own):
+        at = bisect_left(taken, (start, end))
+        if (at == len(taken) or end <= taken[at][0]) and (not at or taken[at - 1][1] <= start):
+            taken.insert(at, (start, end))
+            found.append((name, start, end, -share))
     return sorted(found, key=lambda m: (m[1], m[0]))
 
 
 def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = 0.8, text: str = "text") -> DataFrame:
     """``doc`` (all columns but the text) and ``licenses`` (name, start, end, coverage) of every row."""
     Work(docs.sparkSession)  # bounds the Arrow batches
-    words = {name: _WORD.findall(template.lower()) for name, template in sorted(templates.items())}
+    words = prepared({name: _WORD.findall(template.lower()) for name, template in sorted(templates.items())})
     kind = pa.list_(pa.struct([("name", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("coverage", pa.float64())]))
 
     @arrow_udf("array<struct<name:string,start:long,end:long,coverage:double>>")
     def licenses_of(texts: pa.Array) -> pa.Array:
         names = ("name", "start", "end", "coverage")
-        return pa.array([[dict(zip(names, m)) for m in matches(t, words, coverage)] for t in texts.to_pylist()], kind)
+        return pa.array([[dict(zip(names, m)) for m in found_in(t, words, coverage)] for t in texts.to_pylist()], kind)
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).alias("none")]
     return docs.select(F.struct(*others).alias("doc"), licenses_of(F.col(text)).alias("licenses"))

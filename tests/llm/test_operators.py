@@ -154,6 +154,26 @@ def test_copies_back_to_back_are_all_found():
                 assert [(m[1], m[3]) for m in found] == [(at, 1.0) for at in starts]
 
 
+def test_licenses_are_told_apart():
+    words = {n: licenses._WORD.findall(t.lower()) for n, t in licenses.TEMPLATES.items()}
+
+    def names(text):
+        return [m[0] for m in licenses.matches(text, words, 0.8)]
+
+    for name, template in licenses.TEMPLATES.items():
+        assert names(f"some words before. {template} and after") == [name]
+    assert names("Licensed under CC BY-SA 4.0.") == ["cc-by-sa-4.0-short-line"]
+    assert names("Licensed under the Apache License, Version 1.1") == ["apache-1.1-line"]
+    assert names("Released under the BSD License.") == []
+    notice = licenses.TEMPLATES["gpl-3.0-notice"]
+    assert names(notice.replace("version 3", "version 2")) == ["gpl-2.0-notice"]
+    assert names(notice.replace("GNU General", "GNU Lesser General")) == ["lgpl-3.0-notice"]
+    assert names(notice.replace("GNU General", "GNU Affero General")) == ["agpl-3.0-notice"]
+    assert names(licenses.TEMPLATES["gpl-3.0-line"].replace("version 3", "version 3.0")) == ["gpl-3.0-line"]
+    assert names(licenses.TEMPLATES["gpl-3.0-line"].replace("GNU", "GNU Library")) == []
+    assert names(notice.replace("program", "library")) == ["gpl-3.0-notice"]
+
+
 def test_quality_model(docs, spark):
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, 1), (4, None), (None, 1), (7, 1), (9, 0)], "doc_id long, quality int")
     for known in (labels, labels.limit(0)):
