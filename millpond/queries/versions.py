@@ -19,6 +19,11 @@ def _before(date: str):
     return F.col("o_orderdate") < F.lit(date).cast("timestamp_ntz")
 
 
+def _early():
+    """Whether an order belongs to the first load; the undated ones come with the second."""
+    return F.coalesce(_before(SPLIT), F.lit(False))
+
+
 def _orders(spark, sf):
     return table(spark, sf, "orders")
 
@@ -32,8 +37,8 @@ def _orders_story(spark, sf) -> SnapshotTable:
     """v0 empty, v1 older orders, v2 all orders, v3 late prices times 100 by mistake."""
     orders = _orders(spark, sf)
     story = SnapshotTable.create(spark, new_path(spark, "story"), orders.schema, at="2024-01-01 00:00:00")
-    story.append(orders.where(_before(SPLIT)), at="2024-01-02 00:00:00")
-    story.append(orders.where(~_before(SPLIT)), at="2024-01-03 00:00:00")
+    story.append(orders.where(_early()), at="2024-01-02 00:00:00")
+    story.append(orders.where(~_early()), at="2024-01-03 00:00:00")
     story.update(~_before(INFLATED_FROM), {"o_totalprice": "o_totalprice * 100"}, at="2024-01-04 00:00:00")
     return story
 
@@ -170,8 +175,8 @@ def history_ops(spark, sf):
 def table_detail(spark, sf):
     orders = _orders(spark, sf)
     made = SnapshotTable.create(spark, new_path(spark, "detail"), orders.schema, {"owner": "sales"})
-    made.append(orders.where(_before(SPLIT)))
-    made.append(orders.where(~_before(SPLIT)))
+    made.append(orders.where(_early()))
+    made.append(orders.where(~_early()))
     made.set_properties({"retentionDays": "90"})
     rows = made.read().count()
     return made.detail().select(

@@ -48,3 +48,16 @@ def altered(tmp_path_factory):
 def test_whole(spark, altered, name):
     df = QUERIES[name](spark, altered)
     assert compare(df.columns, df.collect(), *oracle_rows(altered, ORACLES[name])) is None
+
+
+def test_undated_orders_come_with_the_second_load(spark, tmp_path):
+    orders = pq.read_table(f"{SF}/orders.parquet")
+    dates = orders["o_orderdate"].to_pylist()
+    at = orders.schema.get_field_index("o_orderdate")
+    dates = pa.array([None if i % 100 == 0 else d for i, d in enumerate(dates)], orders.schema.field(at).type)
+    pq.write_table(orders.set_column(at, orders.schema.field(at).name, dates), f"{tmp_path}/orders.parquet")
+    early = sum(d is not None and d.year < 1998 for d in dates.to_pylist())
+    counts = {r.version: r.row_count for r in QUERIES["version_counts"](spark, str(tmp_path)).collect()}
+    assert counts == {0: 0, 1: early, 2: len(dates), 3: len(dates)}
+    assert QUERIES["table_detail"](spark, str(tmp_path)).first().row_count == len(dates)
+    assert QUERIES["optimize_same_rows"](spark, str(tmp_path)).count() == len(dates)
