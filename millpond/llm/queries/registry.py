@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millpond.llm import ann, bpe, licenses, mixing, pii, quality_model, quality_rules, simhash, substrings, token_counts
+from millpond.llm import (
+    ann,
+    bpe,
+    decontamination,
+    licenses,
+    mixing,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    substrings,
+    token_counts,
+)
 from millpond.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +157,46 @@ def op3_license_scan(spark, sf_dir):
         F.array_join(spans, ",").alias("spans"),
         F.array_max(F.transform("licenses", lambda m: m["coverage"])).alias("coverage"),
     )
+
+
+ORACLES["op11_decontamination"] = r"""
+    WITH split AS (
+        SELECT doc_id, row_number() OVER () AS row_no,
+               regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents),
+    item_split AS (
+        SELECT COALESCE(item_id::VARCHAR, '') AS item,
+               regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark),
+    item_windows AS (
+        SELECT DISTINCT item, size, array_to_string(words[start:start + size - 1], ' ') AS passage
+        FROM (SELECT item, words, LEAST(len(words), 10) AS size,
+                     unnest(range(1, len(words) - LEAST(len(words), 10) + 2)) AS start
+              FROM item_split WHERE len(words) > 0)),
+    windows AS (
+        SELECT row_no, size, start, array_to_string(words[start:start + size - 1], ' ') AS passage
+        FROM (SELECT row_no, words, size, unnest(range(1, len(words) - size + 2)) AS start
+              FROM split JOIN (SELECT DISTINCT size FROM item_windows) ON len(words) >= size)),
+    hits AS (SELECT * FROM windows SEMI JOIN item_windows USING (passage, size)),
+    positions AS (
+        SELECT row_no, COUNT(DISTINCT position) AS n_hit
+        FROM (SELECT row_no, unnest(range(start, start + size)) AS position FROM hits) GROUP BY row_no),
+    items AS (
+        SELECT row_no, list_sort(list(DISTINCT item)) AS items
+        FROM (SELECT DISTINCT row_no, passage, size FROM hits) JOIN item_windows USING (passage, size) GROUP BY row_no)
+    SELECT doc_id, len(words) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(len(items), 0) AS n_items,
+           sha256(COALESCE(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM split LEFT JOIN positions USING (row_no) LEFT JOIN items USING (row_no)"""
+
+
+@query
+def op11_decontamination(spark, sf_dir):
+    """Words of every whole text inside passages of the benchmark, and the items they come from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
