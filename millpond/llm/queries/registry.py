@@ -15,13 +15,15 @@ from millpond.llm import (
     licenses,
     mixing,
     pii,
+    prefix_trie,
     quality_model,
     quality_rules,
     simhash,
     substrings,
+    token_alignment,
     token_counts,
 )
-from millpond.llm.common import word_count
+from millpond.llm.common import Work, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +202,81 @@ def op11_decontamination(spark, sf_dir):
         "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    """Tokens of two tokenizers in every whole text, grouped where both end, and how their links stand in the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left, right = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = token_alignment.aligned(docs, left, right)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.select(
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
+def rebuilt(own: DataFrame) -> DataFrame:
+    """Encoded conversations whose first turns, up to 8 by a checksum of the identifier, come from each fifth one."""
+    first = own.select(F.col("conv").alias("base"), F.slice("ids", 1, 8).alias("base_ids"), F.slice("sizes", 1, 8).alias("base_sizes"))
+    taken = (F.crc32(F.col("conv").cast("string").cast("binary")) % 9).cast("int")
+    found = own.withColumn("taken", taken).join(first, F.col("conv") - F.col("conv") % 5 == F.col("base"), "left")
+
+    def joined(base: str, column: str) -> F.Column:
+        before = F.coalesce(F.slice(base, F.lit(1), F.col("taken")), F.expr("CAST(array() AS array<bigint>)"))
+        return F.concat(before, F.slice(column, F.col("taken") + 1, F.size(column))).alias(column)
+
+    return found.select("conv", joined("base_ids", "ids"), joined("base_sizes", "sizes"))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+    WITH turns AS (
+        SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    sums AS (
+        SELECT conv_id, (xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, bits),
+            lambda state, byte: list_reduce([xor(state, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda s, unused: CASE WHEN (s & 1) = 1 THEN xor(s >> 1, 3988292384::BIGINT) ELSE s >> 1 END)))) % 9 AS taken
+        FROM (SELECT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT) AS bits
+              FROM (SELECT DISTINCT conv_id FROM turns))),
+    rebuilt AS (
+        SELECT s.conv_id, t.place, t.role, t.text FROM sums s JOIN turns t ON t.conv_id = s.conv_id - s.conv_id % 5 AND t.place <= s.taken
+        UNION ALL
+        SELECT s.conv_id, t.place, t.role, t.text FROM sums s JOIN turns t ON t.conv_id = s.conv_id AND t.place > s.taken),
+    placed AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, text,
+               sha256(strlen(role)::VARCHAR || ':' || role || text) AS turn
+        FROM rebuilt),
+    paths AS (
+        SELECT conv_id, depth, strlen(text) AS size, array_to_string(list(turn) OVER (PARTITION BY conv_id ORDER BY depth), '') AS node,
+               COUNT(*) OVER (PARTITION BY conv_id) AS turns
+        FROM placed
+        UNION ALL
+        SELECT conv_id, 0, 0, '', (SELECT COUNT(*) FROM placed p WHERE p.conv_id = s.conv_id) FROM sums s),
+    grouped AS (
+        SELECT node, ANY_VALUE(depth) AS depth, ANY_VALUE(size) AS size, COUNT(*) AS n_convs, MIN(conv_id) AS conv_id,
+               sha256(COALESCE(string_agg(CASE WHEN turns = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+        FROM paths GROUP BY node),
+    above AS (SELECT node, left(node, length(node) - 64) AS parent FROM grouped WHERE depth > 0),
+    children AS (SELECT parent AS node, COUNT(*) AS n_children FROM above GROUP BY parent),
+    flat AS (SELECT g.*, COALESCE(n_children, 0) AS n_children FROM grouped g LEFT JOIN children USING (node)),
+    subtree AS (
+        SELECT top AS node, SUM(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, SUM((n_convs - 1) * size) AS saved_tokens
+        FROM (SELECT n_children, n_convs, size, left(node, 64 * unnest(range(0, depth + 1))::BIGINT) AS top FROM flat) GROUP BY top)
+    SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+           n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+    FROM flat f JOIN subtree USING (node) LEFT JOIN above a ON a.node = f.node LEFT JOIN flat p ON p.node = a.parent"""
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Every beginning of a rebuilt conversation: how many share it, and what sharing saves below it."""
+    work = Work(spark)
+    own, _ = prefix_trie.encoded(work, table(spark, sf_dir, "conversations"))
+    found = prefix_trie.trie(work, work.staged(rebuilt(own), "rebuilt"))
+    digests = prefix_trie.ends_digests(found.ends)
+    return found.nodes.join(digests, F.col("id") == F.col("node"), "left").select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children",
+        "n_leaves", F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
