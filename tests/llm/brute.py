@@ -1,8 +1,10 @@
 """Plain versions of what the queries must return, over lists of (doc_id, text, ...)."""
 
+import bisect
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -120,3 +122,136 @@ def nearest(vectors, query, k=5):
             v = np.array(v, np.float64)
             found.append((-float((q * v).sum() / math.sqrt((q * q).sum()) / math.sqrt((v * v).sum())), other))
     return [(other, -score) for score, other in sorted(found)[:k]]
+
+
+def contaminated(docs, items, window=10):
+    """(id, words, hit, items, digest of the items) of (id, text) rows against (item, text) rows."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def split(text):
+        return word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+    holders = {}
+    for item, text in items:
+        own = split(text)
+        n = min(len(own), window)
+        for i in range(len(own) - n + 1) if n else ():
+            holders.setdefault(tuple(own[i : i + n]), set()).add("" if item is None else str(item))
+    sizes = {len(w) for w in holders}
+    out = []
+    for doc, text in docs:
+        own, hit, found = split(text), set(), set()
+        for n in sizes:
+            for i in range(len(own) - n + 1):
+                if (passage := tuple(own[i : i + n])) in holders:
+                    hit |= set(range(i, i + n))
+                    found |= holders[passage]
+        out.append((doc, len(own), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
+    return out
+
+
+def alignments(docs, left, right):
+    """(id, a, b, groups, links, best, sum of counts, digest) of (id, text, a tokens, b tokens); tokens are (id, bytes).
+
+    ``left`` and ``right`` give the tokens of a text.
+    """
+    rows, counts = [], Counter()
+    for doc, text in docs:
+        a, b = (left(text), right(text)) if text else ([], [])
+        spelled = b" " + (text or "").encode()
+        if b"".join(t for _, t in a) != spelled or b"".join(t for _, t in b) != spelled:
+            a, b = [], []
+        ends_a, ends_b = [], []
+        for tokens, ends in ((a, ends_a), (b, ends_b)):
+            at = 0
+            for _, piece in tokens:
+                at += len(piece)
+                ends.append(at)
+        shared = sorted(set(ends_a) & set(ends_b))
+        sides = [[[] for _ in shared] for _ in "ab"]
+        for side, tokens, ends in ((sides[0], a, ends_a), (sides[1], b, ends_b)):
+            for (token, _), end in zip(tokens, ends):
+                side[bisect.bisect_left(shared, end)].append(token)
+        groups = [f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in zip(*sides)]
+        links = [(x[-1], y[-1]) for x, y in zip(*sides)]
+        counts.update(links)
+        rows.append((doc, len(a), len(b), links, groups))
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return [
+        (doc, n_a, n_b, len(groups), len(links), sum(counts[k] == best[k[1]] for k in links), sum(counts[k] for k in links),
+         sha(";".join(groups)) if n_a else "")
+        for doc, n_a, n_b, links, groups in rows
+    ]
+
+
+def in_turns(rows):
+    """{conversation: its (role, text) in order} of (conv, turn, role, text) rows."""
+    found = {}
+    for conv, turn, role, text in sorted(
+        (r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    ):
+        found.setdefault(conv, []).append((role or "", text or ""))
+    return found
+
+
+def rebuilt(own):
+    """The same, with the first turns of each conversation taken from every fifth one."""
+    out = {}
+    for conv, turns in own.items():
+        taken = zlib.crc32(str(conv).encode()) % 9
+        base = conv - int(math.fmod(conv, 5))
+        out[conv] = own.get(base, [])[:taken] + turns[taken:]
+    return out
+
+
+def prefix_nodes(sequences):
+    """(smallest member, depth, parent's, members, children, leaves, saved bytes, digest of the ends) of each beginning."""
+    members = {}
+    for conv, turns in sequences.items():
+        for depth in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:depth]), []).append(conv)
+    children = Counter(node[:-1] for node in members if node)
+    leaves, saved = Counter(), Counter()
+    for node, convs in members.items():
+        for depth in range(len(node) + 1):
+            leaves[node[:depth]] += node not in children
+            saved[node[:depth]] += (len(convs) - 1) * len(node[-1][1].encode()) if node else 0
+    return [
+        (min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), children[node], leaves[node], saved[node],
+         sha(",".join(str(c) for c in sorted(convs) if len(sequences[c]) == len(node))))
+        for node, convs in members.items()
+    ]
+
+
+def rule_cutoffs(rows, factors, alpha, delta, steps=100):
+    """{stratum: {rule: cutoff}} from (stratum, label or None, {rule: step}) rows, by the rules as stated."""
+    def binomial(n, k):
+        return sum(math.comb(n, i) * alpha**i * (1 - alpha) ** (n - i) for i in range(k + 1))
+
+    strata = {s for s, label, _ in rows if label is not None}
+    out = {}
+    for stratum in strata:
+        own = [(label, at) for s, label, at in rows if s == stratum]
+        bad, good = [[at for label, at in own if label is not None and (label == 1) == g] for g in (False, True)]
+        others = [at for label, at in own if label is None]
+        best = (0.0, None)
+        for factor in factors:
+            cuts = {}
+            for rule in (own[0][1] if bad and good else ()):
+                for step in range(steps + 1):
+                    share = sum(at[rule] >= step for at in bad) / len(bad)
+                    usual = max(sum(at[rule] >= step for at in others) / max(len(others), 1), 1 / (len(others) + 1))
+                    if share / usual >= factor:
+                        cuts[rule] = step
+                        break
+            lost, caught = (sum(any(at[r] >= c for r, c in cuts.items()) for at in group) for group in (good, bad))
+            if not bad or not good or binomial(len(good), lost) > delta / len(strata):
+                break
+            gain = caught / len(bad) - lost / len(good)
+            if gain > best[0] + 1e-12:
+                best = (gain, cuts)
+        if best[1] is not None:
+            out[stratum] = best[1]
+    return out
