@@ -1,16 +1,19 @@
 """Operator 8: quality rules with risk-controlled thresholds.
 
-Each rule is a share that is high in bad texts. Its cutoff is chosen from
-labelled documents, per stratum (language): going from the loosest cutoff to
-stricter ones, a cutoff is admissible while the exact binomial test rejects,
-at the corrected level, that the rule drops more than its part of the allowed
-false rejections among good documents. The level ``delta`` is divided by the
-number of strata times rules (Bonferroni), the allowed share ``alpha`` by the
-number of rules, so that with probability 1 - ``delta`` no stratum loses more
-than ``alpha`` of its good documents to all rules together. Among admissible
-cutoffs the one that best separates bad from good is taken, the loosest of
-equals, and none if it drops no more bad than good documents. Strata with too
-few labels get no cutoff, and their documents are kept.
+Each rule is a share that is high in bad texts. Per stratum (language) the
+cutoffs of all rules form one family of levels, each stricter than the one
+before: at a level, a rule's cutoff is the lowest step above which the share of
+documents labelled bad is at least a factor higher than that of unlabelled
+documents, and the factor falls from level to level. So the family depends on
+no good label. On the documents labelled good the levels are tested in their
+order: a level is admissible while the exact binomial test rejects that all
+rules together drop more than ``alpha`` of the good documents, at ``delta``
+divided by the number of strata (Bonferroni). Within a stratum a fixed sequence
+needs no correction, so with probability 1 - ``delta`` no stratum loses more
+than ``alpha`` of its good documents. Among admissible levels the one that best
+separates bad from good is taken, the loosest of equals, and none if it drops
+no more bad than good documents. Strata with too few labels (85 good ones at
+four strata, without a loss) get no cutoff, and their documents are kept.
 
 Defined cases: a NULL or empty text has no words and fails the base rules; a
 NULL stratum is a stratum of its own; NULL labels count as missing, and of
@@ -35,6 +38,8 @@ SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\x0b\x0c\r"
 #: Cutoffs are tried in steps of a hundredth.
 STEPS = 100
+#: By how much more of the bad than of the unlabelled documents a rule drops, level by level.
+FACTORS = (64, 32, 16, 12, 8, 6, 4, 3, 2, 1.5)
 
 _STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct", "n_capitals", "n_marks")
 
@@ -136,25 +141,61 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("base_failed", failed)
 
 
-def thresholds(labelled: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """``stratum`` and the map ``cutoffs`` of its rules, from ``stratum``, ``good`` and the statistics."""
+def family(bad: np.ndarray, others: np.ndarray, n_bad: int, n_others: int) -> list[int]:
+    """A rule's cutoff at each level, from counts of bad and of unlabelled documents per step; ``STEPS`` + 1 drops none."""
+    tail_bad = np.cumsum(bad[::-1])[::-1] / max(n_bad, 1)
+    tail_others = np.maximum(np.cumsum(others[::-1])[::-1] / max(n_others, 1), 1 / (n_others + 1))
+    factor = tail_bad / tail_others
+    return [int(np.flatnonzero(factor >= f)[0]) if (factor >= f).any() else STEPS + 1 for f in FACTORS]
+
+
+def thresholds(known: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """``stratum`` and the map ``cutoffs`` of its rules, from ``stratum``, ``label`` (NULL if unlabelled) and the statistics."""
     names = rules()
     steps = [F.struct(F.lit(n).alias("rule"), step_of(v).alias("step")) for n, v in names.items()]
     counts = (
-        labelled.select("stratum", "good", F.explode(F.array(*steps)).alias("r"))
+        known.where("label IS NULL OR label != 1")
+        .select("stratum", F.col("label").isNotNull().alias("bad"), F.explode(F.array(*steps)).alias("r"))
         .groupBy("stratum", "r.rule", "r.step")
-        .agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad"))
+        .agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("others"))
     )
+
+    def families(group: pd.DataFrame) -> pd.DataFrame:
+        # at most a row for each rule and step; each document is in one step of each rule
+        sizes = group.groupby("rule")[["bad", "others"]].sum().max()
+        rows = []
+        for rule, own in group.groupby("rule"):
+            at = {c: np.bincount(own["step"], own[c], STEPS + 1) for c in ("bad", "others")}
+            if sizes["bad"]:
+                rows.append((group["stratum"].iloc[0], rule, family(at["bad"], at["others"], sizes["bad"], sizes["others"])))
+        return pd.DataFrame(rows, columns=["stratum", "rule", "levels"])
+
+    built = counts.groupBy("stratum").applyInPandas(families, "stratum string, rule string, levels array<int>")
+    built = built.groupBy(F.col("stratum").alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "levels"))).alias("levels"))
+    labelled = known.where("label IS NOT NULL")
     strata = labelled.select("stratum").distinct().count()
-    share, level = alpha / len(names), delta / max(1, strata * len(names))
+
+    def passed(rule: str, step: Column) -> Column:
+        return F.size(F.filter(F.col("levels")[rule], lambda cut: cut > step))
+
+    # the first level at which any rule drops the document
+    dropped = F.least(*[passed(n, step_of(v)) for n, v in names.items()])
+    tested = (
+        labelled.join(built, F.col("stratum").eqNullSafe(F.col("of")), "inner")
+        .groupBy("stratum", dropped.alias("level"))
+        .agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") != 1).alias("bad"))
+    )
+    test_level = delta / max(1, strata)
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
-        step = cutoff(group["step"].to_numpy(), group["good"].to_numpy(), group["bad"].to_numpy(), share, level)
+        # the loosest level has the highest number for ``cutoff``; the last one, of documents never dropped, gains nothing
+        step = cutoff(-group["level"].to_numpy(), group["good"].to_numpy(), group["bad"].to_numpy(), alpha, test_level)
         chosen = group.iloc[: 0 if step is None else 1]
-        return pd.DataFrame({"stratum": chosen["stratum"], "rule": chosen["rule"], "cutoff": [step] * len(chosen)})
+        return pd.DataFrame({"stratum": chosen["stratum"], "level": [-(step or 0)] * len(chosen)})
 
-    found = counts.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cutoff int")
-    return found.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    found = tested.groupBy("stratum").applyInPandas(choose, "stratum string, level int")
+    cutoffs = F.transform_values("levels", lambda _, levels: levels[F.col("level")])
+    return found.join(built, F.col("stratum").eqNullSafe(F.col("of")), "inner").select("stratum", cutoffs.alias("cutoffs"))
 
 
 def step_of(share: Column) -> Column:
@@ -178,7 +219,7 @@ def judged(
         "text-statistics",
     )
     known = labels.groupBy(F.col(doc_id).alias("of_id")).agg(F.min(quality).alias("label")).where("label IS NOT NULL")
-    labelled = found.where("NOT base_failed").join(known, F.col("id") == F.col("of_id"), "inner").withColumn("good", F.col("label") == 1)
+    labelled = found.where("NOT base_failed").join(known, F.col("id") == F.col("of_id"), "left")
     chosen = work.staged(thresholds(labelled, alpha, delta).withColumnRenamed("stratum", "of"), "cutoffs")
     broken = [F.coalesce(step_of(value) >= F.col("cutoffs")[name], F.lit(False)) for name, value in rules().items()]
     rejected = broken[0]
