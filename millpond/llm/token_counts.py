@@ -7,10 +7,11 @@ document and a pre-token, hence at most ``HEAD`` of them, of at most 64 bytes
 or a digest) are broadcast. All others are joined by a shuffle, in which none
 of them can be hot.
 
-A word, cut at ASCII white space, is a unit for the tokenizer's normalizer and
-pre-tokenizer, so these run once per different word; special strings inside
-words are pre-tokens of one token. Words of plain Latin characters, whose
-classes and case need no tables, are split by a regular expression.
+Where the file's normalizer and pre-tokenizer are those of ``_BY_WORDS``, a
+word, cut at ASCII white space, is a unit for them, so they run once per
+different word, and words of plain Latin characters, whose classes and case
+need no tables, are split by a regular expression. With any other file they
+run over whole texts. Special strings are pre-tokens of one token.
 
 Defined cases: a NULL or empty text has 0 tokens; repeated rows are counted
 one by one; an empty table gives an empty result; further columns travel in
@@ -19,6 +20,7 @@ one by one; an empty table gives an empty result; further columns travel in
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from functools import lru_cache
@@ -43,27 +45,56 @@ _PLAIN_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 #: The byte-level spelling of the letters beyond ASCII.
 _SPELLED = {c: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
+# fixed values: the one normalizer and pre-tokenizer, as files state them, that drop white space, fold case and part
+# letters, single digits and other signs, so that words can be taken one by one
+_BY_WORDS = [
+    {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+]
+
 _PIECES = "array<struct<piece:string,n:long>>"
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, re.Pattern | None]:
+def _tokenizer(path: str) -> tuple[Tokenizer, re.Pattern | None, bool]:
+    """The tokenizer, its special strings, and whether words can be taken one by one."""
     tokenizer = Tokenizer.from_file(path)
+    stated = json.loads(tokenizer.to_str())
+    by_words = [stated["normalizer"], stated["pre_tokenizer"]] == _BY_WORDS
     special = [re.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, re.compile(f"({'|'.join(special)})") if special else None
+    return tokenizer, re.compile(f"({'|'.join(special)})") if special else None, by_words
 
 
-def _split(tokenizer: Tokenizer, special: re.Pattern | None, word: str) -> list[str]:
+def _split_word(tokenizer: Tokenizer, special: re.Pattern | None, word: str) -> list[str]:
     """The pre-tokens of one word, as the model sees them."""
     if _PLAIN.fullmatch(word) and not (special and special.search(word)):
         return [piece.translate(_SPELLED) for piece in _PLAIN_PIECE.findall(word.lower())]
+    return _split(tokenizer, special, word)
+
+
+def _split(tokenizer: Tokenizer, special: re.Pattern | None, text: str) -> list[str]:
     found = []
-    for at, part in enumerate(special.split(word) if special else [word]):
+    for at, part in enumerate(special.split(text) if special else [text]):
         if at % 2:
             found.append(part)
         elif part:
             normal = tokenizer.normalizer.normalize_str(part) if tokenizer.normalizer else part
-            found += [piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+            parts = tokenizer.pre_tokenizer.pre_tokenize_str(normal) if tokenizer.pre_tokenizer else [(normal, None)]
+            found += [piece for piece, _ in parts]
     return found
 
 
@@ -72,17 +103,17 @@ def _tokens(tokenizer: Tokenizer, special: re.Pattern | None, piece: str) -> int
 
 
 def _frequencies(texts: list[str | None], path: str, known: dict[bytes, list[str]]) -> pa.Array:
-    tokenizer, special = _tokenizer(path)
+    tokenizer, special, by_words = _tokenizer(path)
     ends, pieces, counts = [0], [], []
     for text in texts:
         words: Counter[bytes] = Counter()
-        for some in byte_words((text or "").encode()):
+        for some in byte_words((text or "").encode()) if by_words else ():
             words.update(some)
-        own: dict[str, int] = {}
+        own: dict[str, int] = {} if by_words else Counter(_split(tokenizer, special, text or ""))
         for word, n in words.items():
             split = known.get(word)
             if split is None:
-                split = _split(tokenizer, special, word.decode())
+                split = _split_word(tokenizer, special, word.decode())
                 if len(known) >= _REMEMBERED:
                     known.clear()
                 if len(word) <= 64:
@@ -117,7 +148,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     @arrow_udf("int")
     def tokens_of(pieces: pa.Array) -> pa.Array:
-        tokenizer, special = _tokenizer(path)
+        tokenizer, special, _ = _tokenizer(path)
         return pa.array([_tokens(tokenizer, special, piece) for piece in pieces.to_pylist()], pa.int32())
 
     work = Work(docs.sparkSession)
