@@ -28,6 +28,7 @@ def with_group_stats(df: DataFrame, keys: list[str], *stats: Column) -> DataFram
 
 
 def top_per_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Rows holding the greatest ``value`` of their group, ties included."""
-    best = staged(df.groupBy(*keys).agg(F.max(value).alias(value)), "group-max")
-    return df.join(best, [*keys, value], "left_semi")
+    """Rows holding the greatest ``value`` of their group, ties included; in a group of NULLs alone all rows."""
+    best = staged(df.groupBy(*keys).agg(F.max(value).alias(value)), "group-max").alias("g")
+    same = [F.col(f"r.{name}").eqNullSafe(F.col(f"g.{name}")) for name in [*keys, value]]
+    return df.alias("r").join(best, same, "left_semi")

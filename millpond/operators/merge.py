@@ -65,9 +65,9 @@ def acting_pairs(target: DataFrame, source: DataFrame, on, matched, how: str) ->
     return target.alias("t").join(source.alias("s"), fires, how)
 
 
-def action_frame(target: DataFrame, source: DataFrame, on, matched, columns, types) -> DataFrame:
-    """One row per target row: ``action`` (NULL = keep), ``pre`` and ``post``."""
-    pairs = acting_pairs(target, source.withColumn("_present", F.lit(True)), on, matched, "left")
+def action_frame(target: DataFrame, source: DataFrame, on, matched, columns, types, how: str = "left") -> DataFrame:
+    """One row per target row, or per changed one if ``how`` is inner: ``action`` (NULL = keep), ``pre`` and ``post``."""
+    pairs = acting_pairs(target, source.withColumn("_present", F.lit(True)), on, matched, how)
     clause = F.when(F.col("s._present"), first_clause(matched))
     action = F.lit(None).cast("string")
     posts = {c: F.col(f"t.{c}") for c in columns}

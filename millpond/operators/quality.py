@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,18 @@ def count_where(df: DataFrame, **conditions: Column) -> DataFrame:
     )
 
 
+def write_counted(df: DataFrame, path: str, **conditions: Column) -> dict[str, int]:
+    """Write the rows to Parquet; the rows meeting each condition are counted in the same pass, ``rows`` counts all.
+
+    The metrics are those of the tasks that wrote, so a task that is tried
+    again counts once.
+    """
+    seen = Observation("counts")
+    counts = [F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in conditions.items()]
+    df.observe(seen, F.count("*").alias("rows"), *counts).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """Name and number of rows of each layer."""
     counts = [

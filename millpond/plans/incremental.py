@@ -6,28 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpond.operators.snapshot import SnapshotTable
+from millpond.operators.intervals import VersionedRows
 from millpond.workspace import staged
 
 
-def control_table(spark: SparkSession, root: str, name: str, start: str) -> SnapshotTable:
+def control_table(spark: SparkSession, root: str, name: str, start: str) -> VersionedRows:
     """One mark per source; ``start`` is where the first load begins."""
-    table = SnapshotTable.create(spark, root, "table_name string, last_processed_timestamp timestamp")
+    table = VersionedRows.create(spark, root, "table_name string, last_processed_timestamp timestamp")
     table.append(spark.range(1).select(
         F.lit(name).alias("table_name"), F.lit(start).cast("timestamp").alias("last_processed_timestamp")
     ))
     return table
 
 
-def watermark(control: SnapshotTable, name: str):
+def watermark(control: VersionedRows, name: str):
     """The mark of one source, as a typed value for a pushed-down comparison."""
     row = control.read().where(F.col("table_name") == name).first()
     return row.last_processed_timestamp
 
 
 def incremental_load(
-    source: DataFrame, sink: SnapshotTable, control: SnapshotTable, name: str, key: str, changed_at: str,
-    undated: SnapshotTable | None = None,
+    source: DataFrame, sink: VersionedRows, control: VersionedRows, name: str, key: str, changed_at: str,
+    undated: VersionedRows | None = None,
 ) -> int:
     """Append source rows changed since the mark, then move the mark. Returns the rows loaded.
 

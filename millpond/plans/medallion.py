@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millpond.operators.dedup import first_per_key
+from millpond.operators.intervals import VersionedRows
 from millpond.operators.merge import WhenNotMatched
 from millpond.operators.quality import split_valid
-from millpond.operators.snapshot import SnapshotTable
+from millpond.plans.revenue import AMOUNTS_SCHEMA, GOLD_SCHEMA, refresh_revenue
 from millpond.workspace import staged
 
 BRONZE_SCHEMA = "ingestion_timestamp timestamp, source_file string, raw_payload string"
@@ -45,48 +46,31 @@ def split_orders(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_valid(parsed, valid)
 
 
-def daily_revenue(silver: DataFrame) -> DataFrame:
-    """Completed orders by region and day."""
-    return (
-        silver.where(F.col("status") == "completed")
-        .groupBy("region", "order_date")
-        .agg(
-            F.count("order_id").alias("order_count"),
-            F.sum("amount").alias("total_revenue"),
-            F.avg("amount").alias("avg_order_value"),
-            F.max("amount").alias("max_order_value"),
-        )
-    )
-
-
-GOLD_KEYS = ["region", "order_date"]
-BRONZE_SEEN, SILVER_SEEN = "bronzeVersion", "silverVersion"
+BRONZE_SEEN = "bronzeVersion"
 
 
 @dataclass(frozen=True)
 class Layers:
-    bronze: SnapshotTable
-    silver: SnapshotTable
-    quarantine: SnapshotTable
-    gold: SnapshotTable
+    bronze: VersionedRows
+    silver: VersionedRows
+    quarantine: VersionedRows
+    amounts: VersionedRows
+    gold: VersionedRows
 
 
 def open_layers(spark: SparkSession, root: str) -> Layers:
     """Empty layers under one folder."""
     return Layers(
-        SnapshotTable.create(spark, f"{root}/bronze", BRONZE_SCHEMA),
-        SnapshotTable.create(spark, f"{root}/silver", SILVER_SCHEMA),
-        SnapshotTable.create(spark, f"{root}/quarantine", SILVER_SCHEMA),
-        SnapshotTable.create(
-            spark, f"{root}/gold",
-            "region string, order_date date, order_count long, total_revenue double, "
-            "avg_order_value double, max_order_value double",
-        ),
+        VersionedRows.create(spark, f"{root}/bronze", BRONZE_SCHEMA),
+        VersionedRows.create(spark, f"{root}/silver", SILVER_SCHEMA),
+        VersionedRows.create(spark, f"{root}/quarantine", SILVER_SCHEMA),
+        VersionedRows.create(spark, f"{root}/amounts", AMOUNTS_SCHEMA),
+        VersionedRows.create(spark, f"{root}/gold", GOLD_SCHEMA),
     )
 
 
-def _mark(table: SnapshotTable, name: str) -> int:
-    return int(table.commit().properties.get(name, 0))
+def _mark(table: VersionedRows, name: str) -> int:
+    return int(table.properties().get(name, 0))
 
 
 def refresh(layers: Layers) -> None:
@@ -94,13 +78,13 @@ def refresh(layers: Layers) -> None:
 
     Each layer keeps, in the commit that changes it, how far it has read. So
     a refresh that breaks off is completed by the next one without repeated
-    rows, and one without news writes nothing.
+    rows, and one without news writes nothing. Gold takes the changes of silver.
     """
     arrived = layers.bronze.current_version()
 
     parsed: dict[int, DataFrame] = {}
 
-    def unseen(layer: SnapshotTable) -> DataFrame:
+    def unseen(layer: VersionedRows) -> DataFrame:
         # both layers stand at the same mark, unless a refresh broke off between them
         seen = _mark(layer, BRONZE_SEEN)
         if seen not in parsed:
@@ -115,14 +99,4 @@ def refresh(layers: Layers) -> None:
         valid, _ = split_orders(unseen(layers.silver))
         orders = first_per_key(valid, ["order_id"], ["ingestion_timestamp", "source_file"])
         layers.silver.merge(orders, ["order_id"], not_matched=[WhenNotMatched()], properties=mark)
-    refined = layers.silver.current_version()
-    seen = _mark(layers.gold, SILVER_SEEN)
-    if seen < refined:
-        # only groups with new or changed rows are summed up again
-        gone, came = layers.silver.differing_rows(seen, refined)
-        groups = staged(gone.select(*GOLD_KEYS).unionByName(came.select(*GOLD_KEYS)).distinct(), "gold-groups")
-        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in GOLD_KEYS]
-        silver, gold = layers.silver.read().alias("t"), layers.gold.read().alias("t")
-        fresh = daily_revenue(silver.join(groups.alias("g"), same, "left_semi"))
-        kept = gold.join(groups.alias("g"), same, "left_anti")
-        layers.gold.overwrite(kept.unionByName(fresh), properties={SILVER_SEEN: str(refined)})
+    refresh_revenue(layers.silver, layers.amounts, layers.gold)

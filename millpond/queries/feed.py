@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millpond.operators.snapshot import FEED_PROPERTY, SnapshotTable
+from millpond.operators.intervals import VersionedRows
 from millpond.queries.registry import query, table
-from millpond.streaming.feed import read_log, stream_changes
-from millpond.streaming.propagate import propagate
+from millpond.streaming.rows import follow, read_stream_log, stream_log
 from millpond.workspace import new_path
 
 COLUMNS = ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"]
+#: Parts of the second load; those without a size come with the first.
+_LARGE = "COALESCE(p_size > 40, false)"
 SHOWN = ["p_partkey", "p_type", "p_retailprice", "_change_type", "_commit_version"]
 
 
 def _create(spark, sf):
-    """v0 empty with the feed on, v1 parts up to size 40."""
+    """v0 empty, v1 parts up to size 40."""
     parts = table(spark, sf, "part").select(*COLUMNS)
-    made = SnapshotTable.create(spark, new_path(spark, "parts"), parts.schema, {FEED_PROPERTY: "true"})
-    made.append(parts.where("p_size <= 40"))
+    made = VersionedRows.create(spark, new_path(spark, "parts"), parts.schema)
+    made.append(parts.where(f"NOT {_LARGE}"))
     return made, parts
 
 
@@ -27,7 +28,7 @@ def _change(made, parts):
     made.update("p_type = 'PROMO'", {"p_retailprice": "p_retailprice + 100"})
     made.update("p_type = 'PROMO' AND p_size < 10", {"p_type": "'STANDARD'"})
     made.delete("p_type = 'ECONOMY' AND p_size > 30")
-    made.append(parts.where("p_size > 40"))
+    made.append(parts.where(_LARGE))
 
 
 def _story(spark, sf):
@@ -39,11 +40,11 @@ def _story(spark, sf):
 _FEED_SQL = """
     WITH feed AS (
         SELECT p_partkey, p_type, p_retailprice, 'insert' AS _change_type, 1::BIGINT AS _commit_version
-        FROM part WHERE p_size <= 40
+        FROM part WHERE COALESCE(p_size <= 40, true)
         UNION ALL SELECT p_partkey, p_type, p_retailprice, 'update_preimage', 2 FROM part
-        WHERE p_size <= 40 AND p_type = 'PROMO'
+        WHERE COALESCE(p_size <= 40, true) AND p_type = 'PROMO'
         UNION ALL SELECT p_partkey, p_type, p_retailprice + 100, 'update_postimage', 2 FROM part
-        WHERE p_size <= 40 AND p_type = 'PROMO'
+        WHERE COALESCE(p_size <= 40, true) AND p_type = 'PROMO'
         UNION ALL SELECT p_partkey, p_type, p_retailprice + 100, 'update_preimage', 3 FROM part
         WHERE p_size < 10 AND p_type = 'PROMO'
         UNION ALL SELECT p_partkey, 'STANDARD', p_retailprice + 100, 'update_postimage', 3 FROM part
@@ -83,24 +84,29 @@ def cdf_by_type(spark, sf):
 
 @query("cdf_stream_log", _FEED_SQL + "SELECT * FROM feed")
 def cdf_stream_log(spark, sf):
-    """Streamed after the first load and again after the changes; the second run takes only new commits."""
+    """Streamed after the first load and again after the changes; the second run takes only new versions."""
     made, parts = _create(spark, sf)
     log, checkpoint = new_path(spark, "feed-log"), new_path(spark, "feed-checkpoint")
-    stream_changes(made, log, checkpoint, starting_version=1)
+    stream_log(made, log, checkpoint, starting_version=1)
     _change(made, parts)
-    stream_changes(made, log, checkpoint, starting_version=1)
-    return read_log(made, log).select(*SHOWN)
+    stream_log(made, log, checkpoint, starting_version=1)
+    return read_stream_log(made, log).select(*SHOWN)
 
 
 @query("cdf_propagate", """
-    SELECT p_partkey, p_name, p_retailprice + CASE WHEN p_size <= 40 THEN 100 ELSE 0 END AS p_retailprice
-    FROM part WHERE p_type = 'PROMO' AND p_size >= 10""")
+    SELECT p_partkey, p_name, p_retailprice + CASE WHEN COALESCE(p_size <= 40, true) THEN 100 ELSE 0 END AS p_retailprice
+    FROM part WHERE p_type = 'PROMO' AND NOT COALESCE(p_size < 10, false)""")
 def cdf_propagate(spark, sf):
-    """A copy of the PROMO parts follows the feed, including parts that stop being PROMO."""
+    """A copy of the PROMO parts follows the feed as a stream, including parts that stop being PROMO, over a restart."""
     made, parts = _create(spark, sf)
     promo = F.col("p_type") == "PROMO"
     summary = made.read().where(promo).select("p_partkey", "p_name", "p_retailprice")
-    follower = SnapshotTable.write(spark, new_path(spark, "promo"), summary)
-    _change(made, parts)
-    propagate(made, follower, "p_partkey", promo, starting_version=2)
-    return follower.read()
+    copy = VersionedRows.write(spark, new_path(spark, "promo"), summary)
+    checkpoint = new_path(spark, "promo-checkpoint")
+    made.update("p_type = 'PROMO'", {"p_retailprice": "p_retailprice + 100"})
+    follow(made, copy, "p_partkey", promo, checkpoint, starting_version=2)
+    made.update("p_type = 'PROMO' AND p_size < 10", {"p_type": "'STANDARD'"})
+    made.delete("p_type = 'ECONOMY' AND p_size > 30")
+    made.append(parts.where(_LARGE))
+    follow(made, copy, "p_partkey", promo, checkpoint, starting_version=2)
+    return copy.read()

@@ -11,6 +11,7 @@ from millpond.operators.layout import layout_report, spread_by
 from millpond.operators.snapshot import SnapshotTable
 from millpond.queries.registry import query, table, view
 from millpond.sources import files, sinks
+from millpond.streaming.landing import read_taken, take_landed
 from millpond.workspace import new_path, staged
 
 ORDER_ROW = "order_id long, customer_id long, status string, amount double, order_date string, priority string"
@@ -67,7 +68,7 @@ def clean_csv(spark, sf):
     path = new_path(spark, "raw-csv")
     raw = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        F.when(F.col("o_orderstatus") != "P", F.format_number("o_totalprice", 2)).alias("amount_text"),
+        F.when(~F.col("o_orderstatus").eqNullSafe("P"), F.format_number("o_totalprice", 2)).alias("amount_text"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("date_text"),
     )
     sinks.write_csv(raw, path, sep="|", nullValue="N/A")
@@ -97,14 +98,17 @@ def _event_lines(spark, sf):
     return path
 
 
-_LINE_SQL = """event_id || ',' || user_id || ',' || CASE event_type WHEN 'error' THEN 'INVALID'
-    ELSE value::VARCHAR END || ',' || strftime(ts, '%Y-%m-%d') || ',' || event_type
+_LINE_SQL = """COALESCE(event_id::VARCHAR, '') || ',' || COALESCE(user_id::VARCHAR, '') || ','
+    || CASE event_type WHEN 'error' THEN 'INVALID' ELSE COALESCE(value::VARCHAR, '') END || ','
+    || COALESCE(strftime(ts, '%Y-%m-%d'), '') || ',' || COALESCE(event_type, '')
     || CASE event_type WHEN 'signup' THEN ',SAVE10' ELSE '' END"""
+# an event without a type is neither an error nor a signup
+_FITS_SQL = "COALESCE(event_type NOT IN ('error', 'signup'), true)"
 
 
 @query("csv_permissive_split", f"""
     SELECT 'clean' AS part, event_id, user_id, value, ts::DATE AS day, event_type, NULL::VARCHAR AS raw
-    FROM events WHERE event_type NOT IN ('error', 'signup')
+    FROM events WHERE {_FITS_SQL}
     UNION ALL SELECT 'corrupt', NULL, NULL, NULL, NULL, NULL, {_LINE_SQL}
     FROM events WHERE event_type IN ('error', 'signup')""")
 def csv_permissive_split(spark, sf):
@@ -114,16 +118,14 @@ def csv_permissive_split(spark, sf):
     )
 
 
-@query("csv_dropmalformed", """
-    SELECT event_id, value FROM events WHERE event_type NOT IN ('error', 'signup')""")
+@query("csv_dropmalformed", f"SELECT event_id, value FROM events WHERE {_FITS_SQL}")
 def csv_dropmalformed(spark, sf):
     lines = _event_lines(spark, sf)
     return files.read_csv(spark, lines, EVENT_LINE, header=False, mode="DROPMALFORMED").select("event_id", "value")
 
 
-@query("csv_failfast", """
-    SELECT event_id, user_id, value, ts::DATE AS day, event_type FROM events
-    WHERE event_type NOT IN ('error', 'signup')""")
+@query("csv_failfast", f"""
+    SELECT event_id, user_id, value, ts::DATE AS day, event_type FROM events WHERE {_FITS_SQL}""")
 def csv_failfast(spark, sf):
     """Rows that passed a quarantine step are read again with no tolerance for bad ones."""
     clean, _ = files.read_csv_split(spark, _event_lines(spark, sf), EVENT_LINE, header=False)
@@ -132,6 +134,26 @@ def csv_failfast(spark, sf):
     return files.read_csv(spark, path, EVENT_LINE, mode="FAILFAST")
 
 
+@query("landing_stream", f"""
+    SELECT 'clean' AS part, event_id, user_id, value, ts::DATE AS day, event_type, NULL::VARCHAR AS raw
+    FROM events WHERE {_FITS_SQL}
+    UNION ALL SELECT 'corrupt', NULL, NULL, NULL, NULL, NULL, {_LINE_SQL}
+    FROM events WHERE event_type IN ('error', 'signup')""")
+def landing_stream(spark, sf):
+    """Files are taken once each: a run over the first half, one after late files, and one without news."""
+    landing, taken, checkpoint = (new_path(spark, name) for name in ("landing", "taken", "landing-checkpoint"))
+    lines = spark.read.text(_event_lines(spark, sf))
+    half = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for arrived in (lines.where(half), lines.where(~half), None):
+        if arrived is not None:
+            arrived.write.mode("append").text(landing)
+        take_landed(spark, landing, taken, checkpoint, EVENT_LINE)
+    clean, corrupt = read_taken(spark, taken, EVENT_LINE)
+    return clean.select(F.lit("clean").alias("part"), *[c for c in clean.columns if c != "_file"]).unionByName(
+        corrupt.select(F.lit("corrupt").alias("part"), F.col(files.CORRUPT).alias("raw")), allowMissingColumns=True
+    )
+
+
 @query("csv_roundtrip", """
     SELECT c_nationkey AS nation_key, COUNT(*) AS customers, ROUND(SUM(c_acctbal), 2) AS balance
     FROM customer GROUP BY c_nationkey""")
@@ -183,14 +205,14 @@ def json_glob(spark, sf):
 @query("list_landing", f"""
     SELECT ts::DATE AS day, SUM(octet_length(encode({_LINE_SQL})) + 1)::BIGINT AS bytes FROM events GROUP BY 1""")
 def list_landing(spark, sf):
-    """Bytes that landed per day, from the listing alone."""
+    """Bytes that landed per day, from the listing alone; lines without a day have a folder of their own."""
     path = new_path(spark, "landing")
     lines = spark.read.text(_event_lines(spark, sf))
     by_day = lines.withColumn("day", F.regexp_extract("value", r"(\d{4}-\d\d-\d\d)", 1))
     spread_by(by_day, "day").write.partitionBy("day").text(path)
     return (
         files.list_landing(spark, path, "*.txt")
-        .groupBy(F.regexp_extract("path", "day=([^/]+)/", 1).cast("date").alias("day"))
+        .groupBy(F.regexp_extract("path", "day=([^/]+)/", 1).try_cast("date").alias("day"))
         .agg(F.sum("size").alias("bytes"))
     )
 
@@ -234,7 +256,7 @@ def managed_table(spark, sf):
 def catalog_table(spark, sf):
     name = f"{_database(spark)}.supplier"
     half = table(spark, sf, "supplier")
-    rich = F.col("s_acctbal") >= 0
+    rich = F.coalesce(F.col("s_acctbal") >= 0, F.lit(False))
     sinks.save_managed(half.where(rich), name)
     sinks.save_managed(half.where(~rich), name, mode="append")
     return spark.sql(f"SELECT s_nationkey, COUNT(*) AS suppliers FROM {name} GROUP BY s_nationkey")
@@ -273,11 +295,16 @@ def ctas_aggregate(spark, sf):
     return spark.table(name)
 
 
-@query("sized_write", "SELECT COUNT(*) AS row_count, SUM(l_quantity)::DOUBLE AS quantity, 3::BIGINT AS files FROM lineitem")
+@query("sized_write", """
+    SELECT COUNT(*) AS row_count, SUM(l_quantity)::DOUBLE AS quantity, GREATEST(CEIL(SUM(48
+           + COALESCE(octet_length(encode(l_returnflag)), 0) + COALESCE(octet_length(encode(l_linestatus)), 0)) / 1048576), 1)::BIGINT
+           AS files
+    FROM (SELECT l_quantity, l_returnflag, l_linestatus FROM lineitem)""")
 def sized_write(spark, sf):
-    """All line items in as many files as a stated size calls for."""
+    """Three columns of all line items in as many files of a megabyte as their measured size calls for."""
     path = new_path(spark, "sized")
-    sinks.write_sized(table(spark, sf, "lineitem"), path, total_bytes=300 * 1024 * 1024)
+    items = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_partkey", "l_returnflag", "l_linestatus")
+    sinks.write_sized(items, path, file_bytes=1 << 20)
     return files.read_parquet(spark, path).withColumn("file", F.input_file_name()).agg(
         F.count("*").alias("row_count"), F.sum("l_quantity").cast("double").alias("quantity"),
         F.count_distinct("file").alias("files"),

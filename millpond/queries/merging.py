@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators.dedup import first_per_key
-from millpond.operators.joins import point_in_time_join
+from millpond.operators.intervals import VersionedRows
+from millpond.operators.joins import as_of_join
 from millpond.operators.merge import WhenMatched, WhenNotMatched, merge_frames
 from millpond.operators.scd import current_rows, open_history, scd2_apply, scd2_merge
-from millpond.operators.snapshot import SnapshotTable
 from millpond.queries.registry import query, table
 from millpond.workspace import new_path
 
@@ -17,11 +17,13 @@ from millpond.workspace import new_path
 # The target holds orders before 2000, the source changes from 1997 on: urgent
 # orders are deleted, high and medium ones updated, the rest inserted. Codes
 # that do not fit (an insert of a known order, an update or delete of an
-# unknown one) are ignored.
+# unknown one) are ignored. Undated orders are in the target and never change;
+# orders without a priority count as low.
 
 
 def _target(orders):
-    return orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    late = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    return orders.where(~F.coalesce(late, F.lit(False)))
 
 
 def _changes(orders):
@@ -44,12 +46,12 @@ MATCHED = [
 NOT_MATCHED = [WhenNotMatched("s.op_type = 'I'")]
 
 _CDC_SQL = """
-    WITH known AS (SELECT *, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'keep'
+    WITH known AS (SELECT *, CASE WHEN COALESCE(o_orderdate < TIMESTAMP '1997-01-01', true) THEN 'keep'
                        WHEN o_orderpriority = '1-URGENT' THEN 'delete'
                        WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'update' ELSE 'keep' END AS action
-                   FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+                   FROM orders WHERE NOT COALESCE(o_orderdate >= TIMESTAMP '2000-01-01', false)),
          unknown AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
-                     AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
+                     AND COALESCE(o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), true))
 """
 
 
@@ -61,7 +63,7 @@ _CDC_SQL = """
     UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice + 1, o_orderdate, o_orderpriority FROM unknown""")
 def merge_cdc(spark, sf):
     orders = table(spark, sf, "orders")
-    target = SnapshotTable.write(spark, new_path(spark, "merge"), _target(orders))
+    target = VersionedRows.write(spark, new_path(spark, "merge"), _target(orders))
     target.merge(_changes(orders), ["o_orderkey"], MATCHED, NOT_MATCHED)
     return target.read()
 
@@ -83,7 +85,9 @@ def merge_insert_only(spark, sf):
     """Late events delivered again, purchases twice: each is stored once."""
     events = table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
     cut = lambda day: F.col("ts") >= F.lit(day).cast("timestamp_ntz")
-    stored = SnapshotTable.write(spark, new_path(spark, "insert-only"), events.where(~cut("2024-01-16")))
+    # undated events are stored, not late
+    early = ~F.coalesce(cut("2024-01-16"), F.lit(False))
+    stored = VersionedRows.write(spark, new_path(spark, "insert-only"), events.where(early))
     late = events.where(cut("2024-01-10"))
     delivered = late.unionByName(late.where(F.col("event_type") == "purchase"))
     once = first_per_key(delivered, ["event_id"], ["ts"])
@@ -95,7 +99,7 @@ def merge_insert_only(spark, sf):
 
 # ---- slowly changing dimension ----------------------------------------------------------
 # All customers are current since 1995. On 1998-06-15 those in debt move to
-# another segment; the others stay as they are.
+# another segment; the others, also those without a balance, stay as they are.
 
 MOVED_ON = "1998-06-15"
 
@@ -117,7 +121,8 @@ def _moves(spark, sf):
 _SCD_SQL = """
     WITH dim AS (
         SELECT c_custkey, c_name, c_mktsegment, DATE '1995-01-01' AS valid_from,
-               CASE WHEN c_acctbal < 0 THEN DATE '1998-06-15' END AS valid_to, NOT c_acctbal < 0 AS is_current
+               CASE WHEN c_acctbal < 0 THEN DATE '1998-06-15' END AS valid_to,
+               NOT COALESCE(c_acctbal < 0, false) AS is_current
         FROM customer
         UNION ALL SELECT c_custkey, c_name, 'COLLECTION', DATE '1998-06-15', NULL, true
         FROM customer WHERE c_acctbal < 0)
@@ -131,7 +136,7 @@ def scd2_apply_query(spark, sf):
 
 @query("scd2_merge", _SCD_SQL + "SELECT * FROM dim")
 def scd2_merge_query(spark, sf):
-    dim = SnapshotTable.write(spark, new_path(spark, "dim"), _history(spark, sf))
+    dim = VersionedRows.write(spark, new_path(spark, "dim"), _history(spark, sf))
     scd2_merge(dim, _moves(spark, sf), "c_custkey", ["c_mktsegment"], MOVED_ON)
     return dim.read()
 
@@ -149,5 +154,5 @@ def scd2_point_in_time(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").cast("date").alias("order_date")
     )
-    joined = point_in_time_join(orders, scd2_apply_query(spark, sf), "c_custkey", "order_date")
+    joined = as_of_join(orders, scd2_apply_query(spark, sf), "c_custkey", "order_date")
     return joined.select("o_orderkey", "order_date", "c_name", "c_mktsegment")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators.quality import layer_counts
-from millpond.operators.snapshot import SnapshotTable
+from millpond.operators.intervals import VersionedRows
 from millpond.plans.fanout import fanout
 from millpond.plans.incremental import control_table, incremental_load
 from millpond.plans.medallion import open_layers, parse_bronze, refresh, split_orders
@@ -125,6 +125,26 @@ def gold_revenue(spark, sf):
     )
 
 
+@query("gold_after_changes", _PARSED_SQL + """
+    , changed AS (SELECT order_id, CASE WHEN region = 'North' AND amount > 60 THEN 'South' ELSE region END AS region,
+                         CASE WHEN region = 'East' THEN amount + 1 ELSE amount END AS amount, status, order_date
+                  FROM silver WHERE NOT COALESCE(region = 'West' AND amount > 80, false))
+    SELECT region, order_date, COUNT(order_id) AS order_count, ROUND(SUM(amount), 2) AS total_revenue,
+           ROUND(AVG(amount), 6) AS avg_order_value, MAX(amount) AS max_order_value
+    FROM changed WHERE status = 'completed' GROUP BY region, order_date""")
+def gold_after_changes(spark, sf):
+    """Gold follows orders that move, change their amount or go, from the changes alone."""
+    layers = _layers(spark, sf)
+    layers.silver.update("region = 'North' AND amount > 60", {"region": "'South'"})
+    layers.silver.update("region = 'East'", {"amount": "amount + 1"})
+    layers.silver.delete("region = 'West' AND amount > 80")
+    refresh(layers)
+    return layers.gold.read().select(
+        "region", "order_date", "order_count", F.round("total_revenue", 2).alias("total_revenue"),
+        F.round("avg_order_value", 6).alias("avg_order_value"), "max_order_value",
+    )
+
+
 @query("medallion_counts", _PARSED_SQL + """
     SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM parsed UNION ALL SELECT 'silver', COUNT(*) FROM silver
     UNION ALL SELECT 'quarantine', COUNT(*) FROM quarantine UNION ALL SELECT 'repeated in silver', 0
@@ -146,8 +166,8 @@ def medallion_counts(spark, sf):
 def _loads(spark, sf):
     """A run for each of two early periods, one for all the rest, and one without news."""
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
-    sink = SnapshotTable.create(spark, new_path(spark, "loaded"), events.schema)
-    undated = SnapshotTable.create(spark, new_path(spark, "undated"), events.schema)
+    sink = VersionedRows.create(spark, new_path(spark, "loaded"), events.schema)
+    undated = VersionedRows.create(spark, new_path(spark, "undated"), events.schema)
     control = control_table(spark, new_path(spark, "control"), "events", "1000-01-01 00:00:00")
     counts = []
     for until in ["2024-01-11", "2024-01-21", None, None]:

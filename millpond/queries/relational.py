@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from millpond.operators.dedup import duplicate_keys, first_per_key
 from millpond.operators.groups import top_per_group, with_group_stats
 from millpond.operators.joins import broadcast_checked, without_match
-from millpond.operators.quality import count_where, layer_counts
+from millpond.operators.quality import count_where, layer_counts, write_counted
 from millpond.queries.registry import query, table, view
-from millpond.sources.generated import doubled_range
-from millpond.workspace import staged
+from millpond.sources.generated import doubled
+from millpond.workspace import new_path, staged
 
 
-#: Values of the smaller side of a product of domains.
-MOST_LEVELS = 1000
+#: Values in one array of the smaller side of a product of domains, about.
+LEVELS = 1000
 
 
 # ---- filters and projections ---------------------------------------------
@@ -57,11 +57,10 @@ def scan_parquet(spark, sf):
     )
 
 
-@query("range_select", """
-    SELECT range AS id, range * 2 AS doubled FROM range((SELECT COUNT(*) FROM orders))""")
+@query("range_select", "SELECT o_orderkey AS id, o_orderkey * 2 AS doubled FROM orders")
 def range_select(spark, sf):
-    """As many ids as there are orders; their number, not their keys, bounds the range."""
-    return doubled_range(spark, 0, table(spark, sf, "orders").count())
+    """The keys of all orders, each with its double."""
+    return doubled(table(spark, sf, "orders").selectExpr("o_orderkey AS id"))
 
 
 @query("top_n", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
@@ -124,7 +123,7 @@ def group_two_keys(spark, sf):
     SELECT 'orders' AS layer, COUNT(*) AS row_count FROM orders
     UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem
     UNION ALL SELECT 'completed', COUNT(*) FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 'by_priority', COUNT(DISTINCT o_orderpriority) FROM orders""")
+    UNION ALL SELECT 'by_priority', COUNT(*) FROM (SELECT DISTINCT o_orderpriority FROM orders)""")
 def layer_counts_query(spark, sf):
     orders = table(spark, sf, "orders")
     return layer_counts({
@@ -164,6 +163,23 @@ def anomaly_counts(spark, sf):
     )
 
 
+@query("observed_write", """
+    SELECT COUNT(*) FILTER (value < 1) AS negligible, COUNT(*) FILTER (value > 300) AS high_value,
+           COUNT(*) FILTER (event_type = 'error') AS errors, COUNT(*) AS rows, COUNT(event_id) AS written FROM events""")
+def observed_write(spark, sf):
+    """Events are written, and their anomalies counted on the way, in one job with one scan."""
+    path = new_path(spark, "observed")
+    events = table(spark, sf, "events")
+    counts = write_counted(
+        events, path,
+        negligible=F.col("value") < 1, high_value=F.col("value") > 300, errors=F.col("event_type") == "error",
+    )
+    return spark.read.parquet(path).agg(
+        *[F.lit(counts[name]).cast("long").alias(name) for name in ("negligible", "high_value", "errors", "rows")],
+        F.count("event_id").alias("written"),
+    )
+
+
 @query("above_group_avg", """
     SELECT * FROM (
         SELECT c_custkey, c_mktsegment, c_acctbal,
@@ -186,8 +202,10 @@ def top_per_group_query(spark, sf):
 @query("top_per_group_sql", """
     SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
     WHERE (c_mktsegment, c_acctbal) IN (SELECT (c_mktsegment, MAX(c_acctbal)) FROM customer GROUP BY c_mktsegment)
+          AND c_mktsegment IS NOT NULL AND c_acctbal IS NOT NULL
     ORDER BY c_mktsegment""")
 def top_per_group_sql(spark, sf):
+    """A pair with a NULL is in no list, so segments without a name or a balance have no top."""
     view(spark, sf, "customer")
     return spark.sql("""
         SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
@@ -290,7 +308,8 @@ def cross_join(spark, sf):
     """Every nation of a customer with every priority of an order, including pairs without orders.
 
     The orders are counted per pair first, so that only the two domains are
-    multiplied. The smaller one travels as an array.
+    multiplied. Priorities travel in arrays of about ``LEVELS``, and each nation
+    meets each array once.
     """
     customer, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
     counted = (
@@ -298,11 +317,16 @@ def cross_join(spark, sf):
         .groupBy(F.col("c_nationkey").alias("nation"), F.col("o_orderpriority").alias("level"))
         .agg(F.count("*").alias("orders"))
     )
-    levels = [r[0] for r in orders.select("o_orderpriority").distinct().limit(MOST_LEVELS + 1).collect()]
-    if len(levels) > MOST_LEVELS:
-        raise ValueError(f"more than {MOST_LEVELS} priorities")
-    every = F.explode(F.array(*[F.lit(level).cast("string") for level in levels]).cast("array<string>"))
-    pairs = customer.select("c_nationkey").distinct().select("c_nationkey", every.alias("priority"))
+    levels = staged(orders.select("o_orderpriority").distinct(), "levels")
+    arrays = levels.count() // LEVELS + 1
+    part = F.pmod(F.xxhash64("o_orderpriority"), F.lit(arrays))
+    # structs, since collected arrays leave NULLs out
+    of_part = levels.groupBy(part.alias("part")).agg(F.collect_list(F.struct("o_orderpriority")).alias("levels"))
+    nations = customer.select("c_nationkey").distinct()
+    nations = nations.select("c_nationkey", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(arrays - 1).cast("long"))).alias("part"))
+    pairs = nations.join(of_part, "part").select("c_nationkey", F.explode("levels").alias("level_of")).select(
+        "c_nationkey", F.col("level_of.o_orderpriority").alias("priority")
+    )
     same = F.col("c_nationkey").eqNullSafe(F.col("nation")) & F.col("priority").eqNullSafe(F.col("level"))
     return pairs.join(counted, same, "left").select(
         "c_nationkey", "priority", F.coalesce("orders", F.lit(0)).cast("long").alias("order_count")
@@ -318,8 +342,8 @@ def left_anti(spark, sf):
 
 
 @query("left_anti_alias", """
-    SELECT p_partkey AS partkey, p_name FROM part WHERE p_partkey NOT IN (
-        SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48)""")
+    SELECT p_partkey AS partkey, p_name FROM part WHERE NOT EXISTS (
+        SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 48)""")
 def left_anti_alias(spark, sf):
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("partkey"), "p_name").alias("p")
     returned = (
@@ -382,7 +406,7 @@ def join_rename(spark, sf):
 
 @query("cached_base", """
     SELECT n_name, COUNT(*) AS order_count, ROUND(AVG(o_totalprice), 2) AS avg_price,
-           (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') AS all_orders
+           SUM(COUNT(*)) OVER ()::BIGINT AS all_orders
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     WHERE o_orderstatus = 'F' GROUP BY n_name""")
 def cached_base(spark, sf):

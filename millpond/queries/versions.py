@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators.diff import version_diff, version_diff_full
+from millpond.operators.intervals import VersionedRows
 from millpond.operators.quality import broken_rules, split_valid
 from millpond.operators.snapshot import FEED_PROPERTY, SnapshotTable
 from millpond.plans.recovery import recover, totals
@@ -28,15 +29,15 @@ def _orders(spark, sf):
     return table(spark, sf, "orders")
 
 
-def _orders_table(spark, sf) -> SnapshotTable:
+def _orders_table(spark, sf) -> VersionedRows:
     """All orders as version 0."""
-    return SnapshotTable.write(spark, new_path(spark, "orders"), _orders(spark, sf))
+    return VersionedRows.write(spark, new_path(spark, "orders"), _orders(spark, sf))
 
 
-def _orders_story(spark, sf) -> SnapshotTable:
+def _orders_story(spark, sf) -> VersionedRows:
     """v0 empty, v1 older orders, v2 all orders, v3 late prices times 100 by mistake."""
     orders = _orders(spark, sf)
-    story = SnapshotTable.create(spark, new_path(spark, "story"), orders.schema, at="2024-01-01 00:00:00")
+    story = VersionedRows.create(spark, new_path(spark, "story"), orders.schema, at="2024-01-01 00:00:00")
     story.append(orders.where(_early()), at="2024-01-02 00:00:00")
     story.append(orders.where(~_early()), at="2024-01-03 00:00:00")
     story.update(~_before(INFLATED_FROM), {"o_totalprice": "o_totalprice * 100"}, at="2024-01-04 00:00:00")
@@ -68,7 +69,7 @@ def snapshot_overwrite(spark, sf):
 @query("snapshot_append", "SELECT o_orderstatus, COUNT(*) AS order_count FROM orders GROUP BY o_orderstatus")
 def snapshot_append(spark, sf):
     orders = _orders(spark, sf)
-    grown = SnapshotTable.create(spark, new_path(spark, "append"), orders.schema)
+    grown = VersionedRows.create(spark, new_path(spark, "append"), orders.schema)
     for batch in _batches(orders, "o_orderkey", 3):
         grown.append(batch)
     return grown.read().groupBy("o_orderstatus").agg(F.count("*").alias("order_count"))
@@ -106,23 +107,26 @@ def update_expr(spark, sf):
 
 @query("delete_rows", """
     SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-    WHERE NOT (o_orderstatus = 'P' AND o_totalprice < 250000)""")
+    WHERE NOT COALESCE(o_orderstatus = 'P' AND o_totalprice < 250000, false)""")
 def delete_rows(spark, sf):
+    """Rows of which the condition is unknown stay."""
     orders = _orders_table(spark, sf)
     orders.delete("o_orderstatus = 'P' AND o_totalprice < 250000")
     return orders.read().select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-def _soft_deleted(spark, sf) -> SnapshotTable:
-    customers = SnapshotTable.write(spark, new_path(spark, "soft-delete"), table(spark, sf, "customer"))
+def _soft_deleted(spark, sf) -> VersionedRows:
+    customers = VersionedRows.write(spark, new_path(spark, "soft-delete"), table(spark, sf, "customer"))
     customers.add_columns("is_deleted boolean")
     customers.update("is_deleted IS NULL AND c_acctbal IS NOT NULL", {"is_deleted": "false"})
     customers.update("c_acctbal < 0", {"is_deleted": "true", "c_mktsegment": "'DELETED'"})
     return customers
 
 
-@query("soft_delete_active", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE NOT c_acctbal < 0")
+@query("soft_delete_active", """
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE NOT COALESCE(c_acctbal < 0, false)""")
 def soft_delete_active(spark, sf):
+    """Customers without a balance are not deleted."""
     rows = _soft_deleted(spark, sf).read()
     return rows.where("is_deleted = false OR is_deleted IS NULL").select("c_custkey", "c_name", "c_mktsegment")
 
@@ -281,8 +285,9 @@ def recovery_totals(spark, sf):
 def merge_schema(spark, sf):
     parts = table(spark, sf, "part")
     slim = parts.select("p_partkey", "p_retailprice", "p_size")
-    grown = SnapshotTable.write(spark, new_path(spark, "merge-schema"), slim.where("p_size <= 25").drop("p_size"))
-    wide = parts.where("p_size > 25").select("p_partkey", "p_retailprice", F.col("p_type").alias("category"))
+    large = F.coalesce(F.col("p_size") > 25, F.lit(False))  # parts without a size come first
+    grown = VersionedRows.write(spark, new_path(spark, "merge-schema"), slim.where(~large).drop("p_size"))
+    wide = parts.where(large).select("p_partkey", "p_retailprice", F.col("p_type").alias("category"))
     grown.append(wide, merge_schema=True)
     return grown.read()
 
@@ -292,7 +297,7 @@ def merge_schema(spark, sf):
     FROM part""")
 def add_columns(spark, sf):
     parts = table(spark, sf, "part")
-    made = SnapshotTable.write(spark, new_path(spark, "add-columns"), parts)
+    made = VersionedRows.write(spark, new_path(spark, "add-columns"), parts)
     made.add_columns("stock_count int, supplier string")
     made.update("p_type = 'PROMO'", {"stock_count": "p_size"})
     return made.read().select("p_partkey", "p_name", "stock_count", "supplier")
@@ -312,7 +317,7 @@ def describe(spark, sf):
 def checked_append(spark, sf):
     """Rows pass a CHECK on their way in."""
     orders = _orders(spark, sf).select("o_orderkey", "o_totalprice")
-    made = SnapshotTable.create(spark, new_path(spark, "checked"), orders.schema)
+    made = VersionedRows.create(spark, new_path(spark, "checked"), orders.schema)
     made.add_constraint("positive_price", "o_totalprice > 0")
     valid, _ = split_valid(orders, F.col("o_totalprice") > 0)
     made.append(valid)
@@ -333,9 +338,10 @@ def refused_rows(spark, sf):
 
 @query("optimize_same_rows", "SELECT * FROM orders")
 def optimize_same_rows(spark, sf):
+    """All changes folded into interval rows in the order of the customers."""
     story = _orders_story(spark, sf)
     story.restore(2)
-    story.optimize(cluster_by="o_custkey")
+    story.fold(cluster_by="o_custkey")
     return story.read()
 
 
@@ -362,7 +368,7 @@ def compacted_layout(spark, sf):
     UNION ALL SELECT 'current readable', COUNT(*) > 0 FROM orders""")
 def vacuum_candidates(spark, sf):
     """Files only old versions need: found without a window, kept by the default one, then removed."""
-    orders = _orders_table(spark, sf)
+    orders = SnapshotTable.write(spark, new_path(spark, "orders"), _orders(spark, sf))
     orders.delete("o_orderstatus = 'F'")
     found = orders.vacuum(retain_hours=0, dry_run=True, force=True).count()
     inside = orders.vacuum(dry_run=True).count()

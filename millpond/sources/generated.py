@@ -11,9 +11,14 @@ REGIONS = ["North", "South", "East", "West"]
 STATUSES = ["completed", "pending", "cancelled"]
 
 
+def doubled(ids: DataFrame) -> DataFrame:
+    """Ids, of a table or of a range, each with its double."""
+    return ids.selectExpr("id", "id * 2 AS doubled")
+
+
 def doubled_range(spark: SparkSession, start: int, end: int) -> DataFrame:
     """Ids from ``start`` up to, not including, ``end``, each with its double."""
-    return spark.range(start, end).selectExpr("id", "id * 2 AS doubled")
+    return doubled(spark.range(start, end))
 
 
 def _draw(key: Column, seed: int, stream: int, size: int) -> Column:

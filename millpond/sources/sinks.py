@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millpond.operators.layout import file_count_for, spread_by
+from millpond.operators.layout import FILE_BYTES, file_count_for, measured_bytes, spread_by
 
-#: Rows of a report that one task may write.
+#: Rows of a report that one task writes.
 ONE_FILE_ROWS = 1_000_000
 
 
@@ -18,17 +18,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mod
         spread_by(df, partition_by).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
-def write_sized(df: DataFrame, path: str, total_bytes: int, mode="overwrite"):
-    """Parquet in the number of files that ``total_bytes`` calls for; the work before the write keeps its tasks."""
-    df.repartition(file_count_for(total_bytes)).write.mode(mode).parquet(path)
+def write_sized(df: DataFrame, path: str, total_bytes: int | None = None, file_bytes: int = FILE_BYTES, mode="overwrite"):
+    """Parquet in the number of files that its size, measured unless given, calls for.
+
+    The work before the write keeps its tasks.
+    """
+    size = measured_bytes(df) if total_bytes is None else total_bytes
+    df.repartition(file_count_for(size, file_bytes)).write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep=",", header=True, one_file=False, mode="overwrite", **options):
-    """Delimited text. One task writes a single file, so ``one_file`` is refused for more than ``ONE_FILE_ROWS``."""
-    if one_file and df.limit(ONE_FILE_ROWS + 1).count() > ONE_FILE_ROWS:
-        raise ValueError(f"more than {ONE_FILE_ROWS} rows for one file")
+    """Delimited text. With ``one_file`` a single file, but one for each ``ONE_FILE_ROWS`` begun of a larger result."""
     # a shuffle, so that the work before the write keeps its tasks
-    rows = df.repartition(1) if one_file else df
+    rows = df.repartition(max(1, -(-df.count() // ONE_FILE_ROWS))) if one_file else df
     rows.write.mode(mode).option("sep", sep).option("header", header).options(**options).csv(path)
 
 
