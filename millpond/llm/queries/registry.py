@@ -209,10 +209,9 @@ def op12_token_alignment(spark, sf_dir):
     """Tokens of two tokenizers in every whole text, grouped where both end, and how their links stand in the corpus."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     left, right = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    found = token_alignment.aligned(docs, left, right)
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = token_alignment.aligned(docs, left, right, written=lambda groups: F.when(groups != "", F.sha2(groups, 256)).otherwise(""))
     return found.select(
-        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
     )
 
 
