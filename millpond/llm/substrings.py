@@ -11,7 +11,9 @@ it also starts in a document with a smaller identifier.
    the shard can confirm which windows recur, and where first.
 3. Each shard compiles the confirmed phrases, runs of recurring windows with
    one first document, into an Aho-Corasick automaton over word numbers, and
-   streams its pieces of all documents through it.
+   streams its pieces of all documents through it. Where an anchor comes again
+   within a piece, as in a repeated line, each different window is a phrase, so
+   that repetitions of many lengths do not match inside each other.
 
 Anchors that very many documents have go to shards of their own: there the
 windows are confirmed by an aggregation first, and the stream is cut into parts
@@ -40,8 +42,11 @@ from millpond.llm.common import Work, byte_words
 WINDOW, GRAM = 13, 5
 #: An anchor in more documents than this is confirmed by aggregation.
 CROWD = 2000
-#: Pieces of a shard, and of a part of its stream.
-SHARD, PART = 20_000, 40_000
+#: Pieces of a shard, and of a part of its stream. An automaton's root has an
+#: edge for each first word, which are searched one by one: small shards are fast.
+SHARD, PART = 5_000, 40_000
+#: Words of a piece around one anchor; in a longer one the anchor comes again.
+LONGEST = 2 * WINDOW - GRAM
 
 
 class _WordHashes(dict):
@@ -97,6 +102,7 @@ def automaton(phrases: pd.DataFrame) -> tuple[ahocorasick.Automaton, dict[str, i
     phrase is kept with its length and first document.
     """
     numbers: dict[str, int] = {}
+    single: set[tuple[int, ...]] = set()
     found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     by_anchor: dict[int, list[tuple[tuple[int, ...], int, int]]] = {}
     for anchor, text, first, last in zip(*(phrases[f"p_{c}"].tolist() for c in ("anchor", "text", "first", "last"))):
@@ -115,6 +121,13 @@ def automaton(phrases: pd.DataFrame) -> tuple[ahocorasick.Automaton, dict[str, i
                 low, high = windows.get(key, (first, last))
                 windows[key] = (min(low, first), max(high, last))
         for letters, _, _ in pieces:
+            if len(letters) > LONGEST:
+                keys = {letters[i : i + WINDOW] for i in range(len(letters) - WINDOW + 1)} - single
+                single |= keys
+                for key in keys:
+                    if windows[key][0] < windows[key][1]:
+                        found.add_word(key, (WINDOW, windows[key][0]))
+                continue
             begin, own = 0, None
             for i in range(len(letters) - WINDOW + 2):
                 low, high = windows[letters[i : i + WINDOW]] if i + WINDOW <= len(letters) else (0, 0)
@@ -139,33 +152,43 @@ def _located(phrases: pd.DataFrame, stream: pd.DataFrame) -> pd.DataFrame:
         return out
     number = numbers.get
     codes, texts = pd.factorize(stream["text"])
-    which, lows, highs, firsts = [], [], [], []
-    for code, text in enumerate(texts):  # equal pieces give equal matches
-        for end, (length, first) in found.iter(tuple([number(word, 0) for word in text.split(" ")])):
-            which.append(code)
-            lows.append(end + 1 - length)
-            highs.append(end + 1)
-            firsts.append(first)
+    ids, keys, begins = (stream[c].to_numpy() for c in ("id", "key", "begin"))
     order = np.argsort(codes, kind="stable")
-    sizes = np.bincount(codes, minlength=len(texts))
-    ends = np.cumsum(sizes)
-    hits = np.array(which, np.int64)
-    # each match of a text goes to all rows with that text
-    rows = order[_ranges(ends[hits] - sizes[hits], sizes[hits])]
-    match = np.repeat(np.arange(len(hits)), sizes[hits])
-    earlier = np.array(firsts, np.int64)[match] < stream["id"].to_numpy()[rows]
-    rows, match = rows[earlier], match[earlier]
-    begin = stream["begin"].to_numpy()[rows]
+    ends = np.cumsum(np.bincount(codes, minlength=len(texts)))
+    rows, lows, highs = [], [], []
+    for code, text in enumerate(texts):  # equal pieces give equal matches
+        matches = [(end + 1 - length, end + 1, first) for end, (length, first) in found.iter(tuple([number(w, 0) for w in text.split(" ")]))]
+        if not matches:
+            continue
+        own = order[ends[code - 1] if code else 0 : ends[code]]
+        # documents after the same firsts have the same ranges
+        firsts = np.unique([first for _, _, first in matches])
+        levels = np.searchsorted(firsts, ids[own])
+        for level in np.unique(levels[levels > 0]):
+            merged = _merged((low, high) for low, high, first in matches if first <= firsts[level - 1])
+            later = own[levels == level]
+            rows.append(np.repeat(later, len(merged)))
+            lows += [low for low, _ in merged] * len(later)
+            highs += [high for _, high in merged] * len(later)
+    if not rows:
+        return out
+    row = np.concatenate(rows)
     return pd.DataFrame(
-        {
-            "id": stream["id"].to_numpy()[rows],
-            "key": stream["key"].to_numpy()[rows],
-            "low": begin + np.array(lows, np.int64)[match],
-            "high": begin + np.array(highs, np.int64)[match],
-        }
+        {"id": ids[row], "key": keys[row], "low": begins[row] + np.array(lows, np.int64), "high": begins[row] + np.array(highs, np.int64)}
     )
 
 
+def _merged(ranges) -> list[tuple[int, int]]:
+    """Ranges, in any order, without overlap."""
+    merged: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], high))
+        else:
+            merged.append((low, high))
+    return merged
+
+
 def _located_across(phrases: pd.DataFrame, stream: pd.DataFrame) -> pd.DataFrame:
     """The same for a part of a crowded shard, joined to one row per document before it is shuffled."""
     found = _located(phrases, stream).sort_values(["id", "key", "low"], ignore_index=True)
@@ -201,13 +224,6 @@ def _located_within(stream: pd.DataFrame) -> pd.DataFrame:
     return _located(pd.DataFrame({"p_anchor": anchor, "p_text": texts, "p_first": first, "p_last": last}), stream)
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of all ranges, one after the other."""
-    if not len(sizes):
-        return np.empty(0, np.int64)
-    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-
-
 def _kept(words: list[bytes], lows: list[int], highs: list[int]) -> tuple[int, int, bytes]:
     kept, at = [], 0
     for low, high in sorted(zip(lows, highs)):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millpond.llm import ann, bpe, licenses, mixing, pii, quality_model, quality_rules, simhash, substrings, token_counts
-from millpond.llm.common import byte_words
+from millpond.llm.common import Work, byte_words
 
 RANKS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
 LONG = "word " * 60_000 + "end of a very long text " * 2000
@@ -260,21 +260,23 @@ def test_terms_far_from_an_entity_are_judged_by_document(spark):
     assert found[35] == f"line 5 {far} [NAME]" and found[150] == cases[-250][1]
 
 
-def test_token_counts(docs):
-    tokenizer = Tokenizer.from_file(PIECES)
-    got = Counter(collected(token_counts.count_tokens(docs, PIECES), "doc.doc_id", "n_tokens"))
+@pytest.mark.parametrize("path", [PIECES, public_tokenizers.path("byte_bpe_50k.json")])
+def test_token_counts(docs, path):
+    tokenizer = Tokenizer.from_file(path)
+    got = Counter(collected(token_counts.count_tokens(docs, path), "doc.doc_id", "n_tokens"))
     assert got == Counter((d, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for d, t in texts(docs))
 
 
-def test_token_counts_of_odd_characters(spark, monkeypatch):
+@pytest.mark.parametrize("path", [PIECES, public_tokenizers.path("byte_bpe_50k.json")])
+def test_token_counts_of_odd_characters(spark, monkeypatch, path):
     random.seed(6)
     monkeypatch.setattr(token_counts, "HEAD", 20)  # most pre-tokens take the shuffled join
     parts = ["ab", "c'S", " ", "é", "é", "́", "\x1c", "\x85", "\xa0", "<|endoftext|>", "<|startoftext|>", "1", "22",
              ".", "!?", "中", "ſ", "İ", "Σ", "ß", "À", "\n", "\x0b", "'ll", "ﬀ", "🙂", "가", "<|endof", "×", "ÿ"]
     cases = [(i, "".join(random.choice(parts) for _ in range(60))) for i in range(200)]
-    tokenizer = Tokenizer.from_file(PIECES)
+    tokenizer = Tokenizer.from_file(path)
     docs = spark.createDataFrame(cases, "doc_id long, text string")
-    got = dict(collected(token_counts.count_tokens(docs, PIECES), "doc.doc_id", "n_tokens"))
+    got = dict(collected(token_counts.count_tokens(docs, path), "doc.doc_id", "n_tokens"))
     assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in cases}
 
 
@@ -493,6 +495,18 @@ def test_cells_come_in_order_of_their_distance():
     assert sorted(cells) == np.flatnonzero(sizes).tolist() and (np.diff(sums[cells]) >= 0).all()
 
 
+def test_lines_repeated_many_times_give_ranges_in_proportion(spark):
+    """Texts of one line, repeated 10, 15, 20, ... times: a range or two for each text, however many there are."""
+    line = "a line that comes again and again "
+    for count in (10, 20, 40, 80):
+        cases = [(i, line * (10 + 5 * i) + f"end {i}") for i in range(count)]
+        docs = spark.createDataFrame(cases, "id long, text string").withColumn("key", F.col("id"))
+        ranges = substrings.repeated_ranges(Work(spark), docs)
+        assert ranges.agg(F.sum(F.size("lows"))).first()[0] <= 30 * count
+        found = substrings.without_repeats(docs, "id").select("doc.id", "n_words", "n_removed", F.sha2("kept", 256))
+        assert Counter(map(tuple, found.collect())) == Counter(brute.without_repeats(cases))
+
+
 def test_repeated_passages(docs):
     found = substrings.without_repeats(docs).select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256))
     assert Counter(map(tuple, found.collect())) == Counter(brute.without_repeats(texts(docs)))
