@@ -24,7 +24,10 @@ from millpond.workspace import new_path
 def _bronze_rows(spark, sf):
     events = table(spark, sf, "events")
     kind = F.col("event_type")
-    region = F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (F.col("user_id") % 4 + 1).cast("int"))
+    # element_at takes the last of elements that are never NULL for a NULL position
+    region = F.when(
+        F.col("user_id").isNotNull(), F.element_at(F.array(*[F.lit(r) for r in REGIONS]), (F.col("user_id") % 4 + 1).cast("int"))
+    )
     payload = F.to_json(
         F.struct(
             F.col("event_id").alias("order_id"),

@@ -253,10 +253,10 @@ def version_diff_query(spark, sf):
 @query("version_diff_full", _STORY_SQL + """
     SELECT v3.o_orderkey, CASE WHEN v1.o_orderkey IS NULL THEN 'added' ELSE 'removed' END AS diff,
            v1.o_totalprice AS old_price, v3.o_totalprice AS new_price
-    FROM v3 LEFT JOIN v1 USING (o_orderkey) WHERE v1.o_orderkey IS NULL AND v3.o_orderstatus != 'P'
+    FROM v3 LEFT JOIN v1 USING (o_orderkey) WHERE v1.o_orderkey IS NULL AND v3.o_orderstatus IS DISTINCT FROM 'P'
     UNION ALL SELECT o_orderkey, 'removed', o_totalprice, NULL FROM v1 WHERE o_orderstatus = 'P'
     UNION ALL SELECT o_orderkey, 'changed', o_totalprice, -o_totalprice FROM v1
-    WHERE o_orderstatus = 'O'""")
+    WHERE o_orderstatus = 'O' AND o_totalprice IS NOT NULL""")
 def version_diff_full_query(spark, sf):
     """Version 1 against a version with rows added, removed and changed."""
     story = _orders_story(spark, sf)

@@ -29,7 +29,8 @@ def _draw(key: Column, seed: int, stream: int, size: int) -> Column:
 
 def _choice(key: Column, seed: int, stream: int, values: list[str]) -> Column:
     options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (_draw(key, seed, stream, len(values)) + 1).cast("int"))
+    # element_at takes the last of elements that are never NULL for a NULL position
+    return F.when(key.isNotNull(), F.element_at(options, (_draw(key, seed, stream, len(values)) + 1).cast("int")))
 
 
 def synthetic_transactions(ids: DataFrame, key: str, seed: int = 42) -> DataFrame:
