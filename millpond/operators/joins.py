@@ -88,7 +88,7 @@ def as_of_join(
     carried = placed.withColumn("_own", F.last("_history", ignorenulls=True).over(down)).where("_kind = 1")
     same = (F.col("_key") == F.col("_of_key")) & (F.col("_part") == F.col("_of_part"))
     met = carried.join(handed, same, "left").withColumn("_row", F.coalesce("_own", "_before"))
-    found = met.where(F.col("_at") < F.coalesce(F.col(f"_row.{valid_to}"), open_end))
+    found = met.where(F.col("_row").isNotNull() & (F.col("_at") < F.coalesce(F.col(f"_row.{valid_to}"), open_end)))
     return found.select("_fact.*", *[F.col(f"_row.`{c}`") for c in rows.columns if c != "_history_key"])
 
 
