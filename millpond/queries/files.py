@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from millpond.functions.scalars import parse_amount, parse_date
 from millpond.operators.layout import layout_report, spread_by
 from millpond.operators.snapshot import SnapshotTable
-from millpond.queries.registry import query, table, view
+from millpond.queries.registry import fresh_database, query, table, view
 from millpond.sources import files, sinks
 from millpond.streaming.landing import read_taken, take_landed
 from millpond.workspace import new_path, staged
@@ -236,16 +234,9 @@ def partition_pruned_scan(spark, sf):
     return files.read_parquet(spark, path).filter(F.col("o_orderstatus") == "F")
 
 
-def _database(spark) -> str:
-    """A fresh schema of the catalog whose managed tables live in the shared work folder."""
-    name = f"millpond_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'db')}'")
-    return name
-
-
 @query("managed_table", "SELECT * FROM supplier")
 def managed_table(spark, sf):
-    name = f"{_database(spark)}.supplier"
+    name = f"{fresh_database(spark)}.supplier"
     sinks.drop_if_exists(spark, name)
     sinks.save_managed(table(spark, sf, "supplier"), name)
     return spark.table(name)
@@ -254,7 +245,7 @@ def managed_table(spark, sf):
 @query("catalog_table", """
     SELECT s_nationkey, COUNT(*) AS suppliers FROM supplier GROUP BY s_nationkey""")
 def catalog_table(spark, sf):
-    name = f"{_database(spark)}.supplier"
+    name = f"{fresh_database(spark)}.supplier"
     half = table(spark, sf, "supplier")
     rich = F.coalesce(F.col("s_acctbal") >= 0, F.lit(False))
     sinks.save_managed(half.where(rich), name)
@@ -265,7 +256,7 @@ def catalog_table(spark, sf):
 @query("external_table", "SELECT * FROM part WHERE p_size > 25")
 def external_table(spark, sf):
     """Dropped and registered again: the rows of an external table stay."""
-    database, path = _database(spark), new_path(spark, "external-part")
+    database, path = fresh_database(spark), new_path(spark, "external-part")
     sinks.write_parquet(table(spark, sf, "part"), path)
     name = f"{database}.part"
     sinks.register_external(spark, name, path)
@@ -277,7 +268,7 @@ def external_table(spark, sf):
 @query("ctas_filter", "SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_type = 'PROMO'")
 def ctas_filter(spark, sf):
     view(spark, sf, "part")
-    name = f"{_database(spark)}.promo_parts"
+    name = f"{fresh_database(spark)}.promo_parts"
     spark.sql(f"""
         CREATE TABLE {name} USING PARQUET AS
         SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_type = 'PROMO'""")
@@ -288,7 +279,7 @@ def ctas_filter(spark, sf):
     SELECT p_type, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS total_price FROM part GROUP BY p_type""")
 def ctas_aggregate(spark, sf):
     view(spark, sf, "part")
-    name = f"{_database(spark)}.parts_by_type"
+    name = f"{fresh_database(spark)}.parts_by_type"
     spark.sql(f"""
         CREATE TABLE {name} USING PARQUET AS
         SELECT p_type, COUNT(*) AS parts, ROUND(SUM(p_retailprice), 2) AS total_price FROM part GROUP BY p_type""")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millpond.operators.bucketed import merge_bucketed, write_bucketed
 from millpond.operators.dedup import first_per_key
 from millpond.operators.intervals import VersionedRows
 from millpond.operators.joins import as_of_join
 from millpond.operators.merge import WhenMatched, WhenNotMatched, merge_frames
 from millpond.operators.scd import current_rows, open_history, scd2_apply, scd2_merge
-from millpond.queries.registry import query, table
+from millpond.queries.registry import fresh_database, query, table
 from millpond.workspace import new_path
 
 
@@ -39,6 +40,8 @@ def _changes(orders):
     )
 
 
+#: Buckets of the bucketed target; a table of terabytes has thousands.
+BUCKETS = 16
 MATCHED = [
     WhenMatched("s.op_type = 'D'", delete=True),
     WhenMatched("s.op_type = 'U'", {"o_totalprice": "s.o_totalprice", "o_orderstatus": "s.o_orderstatus"}),
@@ -80,6 +83,21 @@ def merge_changes(spark, sf):
     return changes.select("_change_type", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@query("merge_buckets", _CDC_SQL + """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM known
+    WHERE action = 'keep'
+    UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice + 1, o_orderdate, o_orderpriority FROM known
+    WHERE action = 'update'
+    UNION ALL SELECT o_orderkey, o_custkey, 'X', o_totalprice + 1, o_orderdate, o_orderpriority FROM unknown""")
+def merge_buckets(spark, sf):
+    """The same merge into a bucketed table, of which only the source shuffles."""
+    orders = table(spark, sf, "orders")
+    name = f"{fresh_database(spark)}.orders"
+    write_bucketed(_target(orders), name, ["o_orderkey"], BUCKETS)
+    merge_bucketed(spark, name, _changes(orders), ["o_orderkey"], BUCKETS, MATCHED, NOT_MATCHED)
+    return spark.table(name)
+
+
 @query("merge_insert_only", "SELECT event_id, event_type, user_id, ts FROM events")
 def merge_insert_only(spark, sf):
     """Late events delivered again, purchases twice: each is stored once."""

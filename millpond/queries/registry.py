@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millpond.workspace import new_path
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_database(spark: SparkSession) -> str:
+    """A fresh schema of the catalog whose managed tables live in the shared work folder."""
+    name = f"millpond_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'db')}'")
+    return name
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The table as a temporary view for SQL text."""
     table(spark, sf_dir, name).createOrReplaceTempView(name)

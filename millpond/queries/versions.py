@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millpond.operators.diff import version_diff, version_diff_full
+from millpond.operators.digests import digest_diff, write_digested
 from millpond.operators.intervals import VersionedRows
 from millpond.operators.quality import broken_rules, split_valid
 from millpond.operators.snapshot import FEED_PROPERTY, SnapshotTable
@@ -267,6 +268,26 @@ def version_diff_full_query(spark, sf):
     )
 
 
+@query("digest_diff", """
+    SELECT o_orderkey, 'changed' AS diff, o_totalprice AS old_price, o_totalprice + 1 AS new_price FROM orders
+    WHERE o_orderpriority = '1-URGENT' AND o_custkey % 50 = 0 AND o_totalprice IS NOT NULL
+    UNION ALL SELECT o_orderkey, 'removed', o_totalprice, NULL FROM orders
+    WHERE o_orderpriority = '2-HIGH' AND o_custkey % 50 = 1""")
+def digest_diff_query(spark, sf):
+    """Two stored tables without a common history, compared by digests of their buckets."""
+    orders = _orders(spark, sf)
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") % 50 == 0)
+    gone = (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_custkey") % 50 == 1)
+    price = F.when(urgent, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    changed = orders.where(~F.coalesce(gone, F.lit(False))).withColumn("o_totalprice", price)
+    old, new = new_path(spark, "digested-old"), new_path(spark, "digested-new")
+    write_digested(orders, old, "o_orderkey", 32)
+    write_digested(changed, new, "o_orderkey", 32)
+    return digest_diff(spark, old, new, "o_orderkey").select(
+        "o_orderkey", "diff", F.col("old_o_totalprice").alias("old_price"), F.col("new_o_totalprice").alias("new_price")
+    )
+
+
 @query("recovery_totals", _STORY_SQL + """
     SELECT 'damaged' AS state, COUNT(*) AS row_count, ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE AS total FROM v3
     UNION ALL SELECT 'restored', COUNT(*), ROUND(SUM(o_totalprice::DECIMAL(38, 6)), 2)::DOUBLE FROM v2""")
