@@ -194,3 +194,16 @@ def test_op13(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
     found = Counter(tuple(r) for r in QUERIES["op13_prefix_trie"](spark, SF).collect())
     assert found == Counter(brute.prefix_nodes(brute.rebuilt(brute.in_turns(rows))))
+
+
+def test_ranks_encode_as_the_library():
+    """Texts of checked characters take the fast way, all others the library's; both give its ids."""
+    vocabulary = token_alignment.vocabulary(BYTES)
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    random.seed(13)
+    parts = ["ab", "c's", "é", "ß", " ", "  ", "\n", "\t", "1", "23", ".", "!?", "\x85", "\xa0", "中", "ɐ", "İ", "word", "schlich", "'ll", "<|endoftext|>"]
+    texts = ["".join(random.choice(parts) for _ in range(80)) for _ in range(300)] + ["", " ", "x" * 5000, " " * 5000, "ab" * 900]
+    assert vocabulary.encode(texts) == [tokenizer.encode(f" {t}", add_special_tokens=False).ids for t in texts]
+    assert token_alignment._ranked(tokenizer, vocabulary.pieces) is not None
+    assert not token_alignment._UNCHECKED.search("plain ßtext\n") and token_alignment._UNCHECKED.search("ɐ")
