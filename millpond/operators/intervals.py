@@ -207,18 +207,23 @@ class VersionedRows:
         hit = self._rows().where(F.coalesce(as_column(condition), F.lit(False)))
         return self._publish("DELETE", self._tagged(hit, DELETE), at, rewrites=True, skip_empty=True, properties=properties)
 
-    def merge(self, source: DataFrame, on: list[str], matched=(), not_matched=(), properties=None, at=None) -> int:
+    def merge(
+        self, source: DataFrame, on: list[str], matched=(), not_matched=(), properties=None, at=None, unique: bool = False
+    ) -> int:
         """MERGE by ordered clauses; the target is ``t``, the source ``s``. Without effect it makes no version.
 
         The target is on the left of its joins: a small source is broadcast,
-        and a hot key of the target can be split.
+        and a hot key of the target can be split. ``unique`` says that no two
+        source rows share a key, as after a grouping by it; otherwise it is checked
+        that no two change one row.
         """
         fields = self.schema().fields
         columns, types = [f.name for f in fields], {f.name: f.dataType for f in fields}
         source, target = staged(source, "merge-source"), self._rows()
         images = None
         if matched:
-            refuse_ambiguous(target, source, on, matched, ROW_ID)
+            if not unique:
+                refuse_ambiguous(target, source, on, matched, ROW_ID)
             kept = [*ROW_ID, *columns]
             actions = action_frame(target, source, on, matched, kept, types | {c: T.LongType() for c in ROW_ID}, how="inner")
             images = matched_changes(actions, kept)

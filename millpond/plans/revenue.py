@@ -43,7 +43,7 @@ def _refresh_amounts(silver: VersionedRows, amounts: VersionedRows, until: int)
     amounts.merge(
         deltas, ["group_key", "amount"],
         matched=[WhenMatched("t.orders + s.orders = 0", delete=True), WhenMatched(None, {"orders": "t.orders + s.orders"})],
-        not_matched=[WhenNotMatched()], properties={SEEN: str(until)},
+        not_matched=[WhenNotMatched()], properties={SEEN: str(until)}, unique=True,
     )
 
 
@@ -102,5 +102,5 @@ def refresh_revenue(silver: VersionedRows, amounts: VersionedRows, gold: Version
         not_matched=[WhenNotMatched("s.order_count > 0 OR s.amount_count > 0", {
             **fresh, "group_key": F.col("s.group_key"), **{c: F.col(f"s.{c}") for c in GROUP},
         })],
-        properties={SEEN: str(until)},
+        properties={SEEN: str(until)}, unique=True,
     )

@@ -86,7 +86,7 @@ def follow(
                 WhenMatched(None, {c: F.col(f"s.{c}") for c in columns}),
             ],
             not_matched=[WhenNotMatched("s._stays")],
-            properties={TAKEN: str(number)},
+            properties={TAKEN: str(number)}, unique=True,
         )
 
     query = (
