@@ -41,8 +41,6 @@ TERM = r"\p{L}[\p{L}\p{M}'’-]*+"
 #: Characters to each side of an entity by which its surroundings are told apart.
 CONTEXT = 120
 SUPPORT, TOLD, GENERALISED, REMOVED = 2, 3.0, 1.0, 0.15
-#: Buckets of the hashed terms, which bounds the broadcast filter.
-BUCKETS = 1 << 16
 
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
@@ -72,8 +70,8 @@ def _valid(kind: Column, value: Column) -> Column:
     )
 
 
-def _matches(texts: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
-    """``id``, ``key``, ``kind``, ``start``, ``end``, ``value`` and the text around of all matches.
+def _matches(texts: DataFrame, patterns: dict[str, tuple[str, Column]], context: int = CONTEXT) -> DataFrame:
+    """``id``, ``key``, ``kind``, ``start``, ``end``, ``value`` and ``context`` characters around of all matches.
 
     A pattern cuts the text into matches and what lies between them; positions
     are running sums of lengths, over the matches of one text.
@@ -95,8 +93,10 @@ def _matches(texts: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataF
             i.alias("no"),
             F.length(F.element_at("between", i)).alias("gap"),
             F.element_at("values", i).alias("value"),
-            F.substring(F.element_at("between", i), -CONTEXT, CONTEXT).alias("before"),
-            F.substring(F.element_at("between", i + 1), 1, CONTEXT).alias("after"),
+            *([
+                F.substring(F.element_at("between", i), -context, context).alias("before"),
+                F.substring(F.element_at("between", i + 1), 1, context).alias("after"),
+            ] if context else []),
         ),
     )
     rows = cut.select("id", "key", "kind", F.explode(one).alias("m")).select("id", "key", "kind", "m.*")
@@ -104,7 +104,7 @@ def _matches(texts: DataFrame, patterns: dict[str, tuple[str, Column]]) -> DataF
     so_far = Window.partitionBy("id", "key", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(so_far)
     return rows.withColumn("end", end).select(
-        "id", "key", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before", "after"
+        "id", "key", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", *(["before", "after"] if context else [])
     )
 
 
@@ -187,18 +187,17 @@ def disclosing_terms(work: Work, texts: DataFrame, spans: DataFrame) -> DataFram
 
 def term_spans(work: Work, texts: DataFrame, terms: DataFrame) -> DataFrame:
     """All occurrences of the disclosing terms, as spans."""
+    # written, so that the planner broadcasts few terms and shuffles by many
     terms = work.staged(terms, "disclosing-terms")
-    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
-    buckets = terms.select(bucket.alias("of_bucket")).distinct()
     holders = (
         texts.select("id", "key", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-        .join(F.broadcast(buckets), bucket == F.col("of_bucket"), "left_semi")
         .join(terms.select(F.col("term").alias("of_term")), F.col("term") == F.col("of_term"), "left_semi")
         .select(F.col("id").alias("of_id"), F.col("key").alias("of_key"))
         .distinct()
     )
+    holders = work.staged(holders, "term-holders")  # few of them are broadcast, and the texts stay where they are
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
-    found = _matches(texts.join(holders, same, "left_semi"), {"term": (TERM, F.lit(True))})
+    found = _matches(texts.join(holders, same, "left_semi"), {"term": (TERM, F.lit(True))}, context=0)
     return found.join(terms.select(F.col("term").alias("of_term"), "left"), F.col("value") == F.col("of_term")).select(
         "id", "key", "kind", "start", "end", "value", "left"
     )
