@@ -44,7 +44,7 @@ ROW_ID = ["_born", "_row"]
 _SYSTEM = "_born long, _row long, _change_type string, _commit_timestamp timestamp"
 _INTERVAL = "_born long, _row long, _from long, _to long"
 _COMMIT = (
-    "version long, timestamp string, operation string, schema string, ever string, rewritten long, "
+    "version long, timestamp string, operation string, schema string, ever string, rewritten long, rewritten_before long, "
     "properties map<string,string>, constraints map<string,string>"
 )
 # fixed values: the types of change rows
@@ -90,7 +90,7 @@ class VersionedRows:
         if made._version >= 0:
             raise VersionConflict(f"a table is under {root}")
         text = T.StructType(_ddl_fields(schema)).json()
-        made._commit = {"schema": text, "ever": text, "rewritten": -1, "properties": dict(properties or {}), "constraints": {}}
+        made._commit = {"schema": text, "ever": text, "rewritten": -1, "rewritten_before": -1, "properties": dict(properties or {}), "constraints": {}}
         return made
 
     @classmethod
@@ -331,6 +331,10 @@ class VersionedRows:
             rows = self._open().select(*columns).unionByName(rows)
         if record["rewritten"] <= self._fold:
             return rows  # nothing but inserts since
+        if record["rewritten_before"] <= self._fold:  # one version changed rows: each of them once
+            touched = self._touched(record["rewritten"], record["rewritten"])
+            changed = touched.where(F.col("_change_type") != DELETE).select(*columns)
+            return rows.join(touched.select(*ROW_ID), ROW_ID, "left_anti").unionByName(changed)
         touched = self._touched(self._fold + 1, at)
         last = touched.groupBy(*ROW_ID).agg(
             F.max_by(_struct([*names, "_change_type"]), "_commit_version").alias("_last")
@@ -430,7 +434,9 @@ class VersionedRows:
         record = {
             "version": version, "timestamp": stamp, "operation": operation,
             "schema": T.StructType(fields).json(), "ever": T.StructType(ever).json(),
+            # the last two versions that changed rows which were there before
             "rewritten": version if rewrites else self._commit["rewritten"],
+            "rewritten_before": self._commit["rewritten" if rewrites else "rewritten_before"],
             "properties": self._commit["properties"] | {k: str(v) for k, v in (properties or {}).items()}, "constraints": checks,
         }
         target = f"{self.root}/changes/_commit_version={version}"

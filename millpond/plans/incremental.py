@@ -56,7 +56,7 @@ def incremental_load(
     after = sink.append(recent.join(loaded, [key, changed_at], "left_anti"), skip_empty=True)
     if after == before:
         return 0
-    _, added = sink.differing_rows(before, after)
+    added = sink.appended_rows(before, after)
     found = added.agg(F.count("*").alias("rows"), F.max(at).cast("timestamp").alias("top")).first()
     control.update(F.col("table_name") == name, {"last_processed_timestamp": F.lit(found["top"])})
     return found["rows"]
