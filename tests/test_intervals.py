@@ -267,3 +267,25 @@ def test_late_versions_change_nothing(spark, root):
         query.trigger(availableNow=True).start().awaitTermination(120)
         seen.append(dict(states))
     assert seen == [{1: (5, True), 2: (1, True)}, {1: (5, True), 2: (1, True)}, {1: (5, False), 2: (1, True), 3: (1, False)}]
+
+
+@pytest.mark.parametrize("matched", [[], [WhenMatched("s.v > 6", delete=True), WhenMatched("s.v > 2", {"v": "s.v"})]])
+def test_merge_sorts_for_one_join_at_a_time(spark, root, monkeypatch, matched):
+    """The rows a merge writes come from a single join, so no task holds the sorts of several."""
+    t = VersionedRows.write(spark, f"{root}/t", rows_of(
+        spark, (1, 0, "a"), (1, 1, "b"), (2, 0, "c"), (3, 0, "d"), (4, 0, "e"), (None, 0, "f")
+    ))
+    plans, publish = [], VersionedRows._publish
+
+    def seen(self, operation, rows, *args, **named):
+        plans.append(plan(rows))
+        return publish(self, operation, rows, *args, **named)
+
+    monkeypatch.setattr(VersionedRows, "_publish", seen)
+    # 1 updates two rows, 2 goes, 3 is met without effect, 5 and NULL are new, 6 is not wanted
+    source = rows_of(spark, (1, 5, "x"), (2, 7, "x"), (3, 1, "x"), (5, 4, "x"), (None, 4, "x"), (6, 9, "x"))
+    t.merge(source, ["k"], matched, [WhenNotMatched("s.v < 8")])
+    assert plans[0].count("Join") == 1
+    new = Counter([(3, 0, "d"), (4, 0, "e"), (None, 0, "f"), (5, 4, "x"), (None, 4, "x")])
+    old = [(1, 5, "a"), (1, 5, "b")] if matched else [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
+    assert bag(t.read()) == new + Counter(old)
