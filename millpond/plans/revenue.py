@@ -24,21 +24,26 @@ def _seen(table: VersionedRows) -> int:
     return int(table.properties().get(SEEN, 0))
 
 
-def signed_orders(silver: VersionedRows, after: int, until: int) -> DataFrame:
-    """Completed orders of the changes after a version: 1 where one came, -1 where one went."""
+def counted_orders(silver: VersionedRows, after: int, until: int) -> DataFrame:
+    """Completed orders of the changes after a version, counted by group and amount.
+
+    ``came`` and ``went`` count the rows, ``ids`` those with an identifier, 1
+    where one came and -1 where one went. Keys are spelled and sums are taken
+    from these counts, once for all orders of the same amount.
+    """
     rows = silver.changes(after + 1, until).where(F.col("status") == "completed")
-    sign = F.when(F.col("_change_type").isin(INSERT, AFTER), 1).otherwise(-1).cast("long")
+    here = F.col("_change_type").isin(INSERT, AFTER)
+    counts = rows.groupBy(*GROUP, "amount").agg(
+        F.count(F.when(here, 1)).alias("came"), F.count(F.when(~here, 1)).alias("went"),
+        F.sum(F.when(F.col("order_id").isNull(), 0).when(here, 1).otherwise(-1)).alias("ids"),
+    )
     key = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in GROUP]), {"ignoreNullFields": "false"})
-    return rows.select(key.alias("group_key"), *GROUP, "order_id", "amount", sign.alias("sign"))
+    return staged(counts.select(key.alias("group_key"), "*"), "revenue-counts")
 
 
-def _refresh_amounts(silver: VersionedRows, amounts: VersionedRows, until: int) -> None:
-    after = _seen(amounts)
-    if after >= until:
-        return
-    deltas = (
-        signed_orders(silver, after, until).where("amount IS NOT NULL")
-        .groupBy("group_key", "amount").agg(F.sum("sign").alias("orders")).where("orders != 0")
+def _refresh_amounts(amounts: VersionedRows, counted: DataFrame, until: int) -> None:
+    deltas = counted.where("amount IS NOT NULL AND came != went").select(
+        "group_key", "amount", (F.col("came") - F.col("went")).alias("orders")
     )
     amounts.merge(
         deltas, ["group_key", "amount"],
@@ -56,19 +61,21 @@ def refresh_revenue(silver: VersionedRows, amounts: VersionedRows, gold: Version
     the commit that changes them how far they have read.
     """
     until = silver.current_version()
-    _refresh_amounts(silver, amounts, until)
     after = _seen(gold)
-    if after >= until:
+    counted = counted_orders(silver, after, until) if after < until else None
+    if (seen := _seen(amounts)) < until:
+        # both tables stand at the same mark, unless a refresh broke off between them
+        _refresh_amounts(amounts, counted if seen == after else counted_orders(silver, seen, until), until)
+    if counted is None:
         return
-    money = F.col("amount").cast("decimal(38,6)")
-    came, went = F.col("sign") > 0, F.col("sign") < 0
+    amount, net = F.col("amount"), F.col("came") - F.col("went")
     deltas = staged(
-        signed_orders(silver, after, until).groupBy("group_key", *GROUP).agg(
-            F.sum(F.when(F.col("order_id").isNotNull(), F.col("sign")).otherwise(0)).alias("order_count"),
-            F.sum(F.when(F.col("amount").isNotNull(), F.col("sign")).otherwise(0)).alias("amount_count"),
-            F.coalesce(F.sum(money * F.col("sign")), F.lit(0)).cast("decimal(38,6)").alias("exact_revenue"),
-            F.max(F.when(came, F.col("amount"))).alias("came"),
-            F.max(F.when(went, F.col("amount"))).alias("went"),
+        counted.groupBy("group_key", *GROUP).agg(
+            F.sum("ids").alias("order_count"),
+            F.sum(F.when(amount.isNotNull(), net).otherwise(0)).alias("amount_count"),
+            F.coalesce(F.sum(amount.cast("decimal(38,6)") * net), F.lit(0)).cast("decimal(38,6)").alias("exact_revenue"),
+            F.max(F.when(F.col("came") > 0, amount)).alias("came"),
+            F.max(F.when(F.col("went") > 0, amount)).alias("went"),
         ),
         "revenue-deltas",
     )
