@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
@@ -49,12 +50,12 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 @lru_cache(maxsize=4)
-def _token_bytes(path: str) -> list[bytes]:
+def _token_bytes(path: str) -> pa.Array:
     ranks = _ranks(path)
     table = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    return table
+    return pa.array(table, pa.binary())
 
 
 def _id_lists(texts, path: str, pattern: str) -> pa.Array:
@@ -65,6 +66,18 @@ def _id_lists(texts, path: str, pattern: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
+def _joined_bytes(lists: pa.Array, path: str) -> pa.Array:
+    """The bytes of each list of ids, one token behind the other; none for NULL."""
+    ids = lists.flatten()
+    if not len(ids):
+        return pa.array([b""] * len(lists), pa.binary())
+    tokens = _token_bytes(path).take(ids)
+    # the tokens lie one behind the other already: a list is what lies between its first and its last
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    starts = np.frombuffer(tokens.buffers()[1], np.int32)[np.concatenate([[0], np.cumsum(lengths)])]
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(starts), tokens.buffers()[2]])
+
+
 def chunks_of(text: str, chunk: int, overlap: int) -> list[tuple[int, str]]:
     """(number, text) of the overlapping chunks: each has ``chunk`` characters and those of the overlap."""
     return [
@@ -184,6 +197,9 @@ def encode(
     def ids_of(texts: pa.Array) -> pa.Array:
         return _id_lists(texts.to_pylist(), path, pattern)
 
+    # else the planner may encode anew for each column made of the ids, such as their bytes
+    ids_of = ids_of.asNondeterministic()
+
     work = Work(docs.sparkSession)
     rows = packed(docs, text=text)
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
@@ -199,7 +215,6 @@ def decoded(ids, path: str) -> Column:
 
     @arrow_udf("binary")
     def bytes_of(lists: pa.Array) -> pa.Array:
-        table = _token_bytes(path)
-        return pa.array([b"".join(map(table.__getitem__, row or ())) for row in lists.to_pylist()], pa.binary())
+        return _joined_bytes(lists, path)
 
     return bytes_of(ids)

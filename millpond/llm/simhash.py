@@ -1,4 +1,4 @@
-"""Operator 7: near-duplicates by SimHash, compared in bit slices.
+"""Operator 7: near-duplicates by SimHash, compared by counts of differing bits.
 
 A fingerprint has a bit set if it is set in over half of the hashes of the
 document's word shingles; a shingle counts as often as it occurs, or once
@@ -9,11 +9,11 @@ samples of bits, enough of them to find a pair at the radius with a stated
 probability (``sampled_tables``). A bucket larger than a tile is cut into
 tiles, and each pair of tiles is a task of its own.
 
-Inside a task the fingerprints lie as bit planes; the distances of many
-queries to 64 nodes at a time are summed by carry-save adders, and a block is
-abandoned once all its distances exceed the radius. Tasks give at most one
-link per node, to the first of its group, never all pairs. Connected
-components come from rounds of star contraction over staged links.
+Inside a task each pair of a bucket is compared once, word by word of 64 bits,
+a block of pairs at a time, and a block is abandoned once all its distances
+exceed the radius. Tasks give at most one link per node, to the first of its
+group, never all pairs. Connected components come from rounds of star
+contraction over staged links.
 
 ``deduplicated`` takes these components as candidates only: inside each of
 them, pairs within the radius are linked if the Jaccard similarity of their
@@ -34,6 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +44,12 @@ from millpond.llm.common import Work, byte_words
 
 #: Nodes of a tile; a task compares two tiles at most.
 TILE = 2048
+#: Nodes of a bucket that more nodes do not exceed on average: more of them mean fewer tables.
+BUCKET = 1024
 #: Shingles of a tile in which sets are compared.
 SET_TILE = 1 << 20
-_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Pairs of fingerprints that are compared at once, so that their words stay in the cache.
+CELLS = 1 << 14
 
 
 # fingerprints
@@ -68,14 +72,13 @@ def shingle_hashes(text: str, words: int):
         yield np.array([xxhash.xxh64_intdigest(b" ".join(carry), 42)], np.uint64)
 
 
-def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
-    """The hashes themselves, or for further lanes a mix of them."""
-    if not lane:
-        return hashes
-    x = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & 0xFFFFFFFFFFFFFFFF)
+def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """(hashes, lanes): the hashes themselves, and for further lanes mixes of them."""
+    steps = np.array([(0x9E3779B97F4A7C15 * lane) & 0xFFFFFFFFFFFFFFFF for lane in range(1, lanes)], np.uint64)
+    x = hashes[:, None] + steps
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    return np.concatenate([hashes[:, None], x ^ (x >> np.uint64(31))], axis=1)
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -89,15 +92,13 @@ def fingerprint(text: str | None, words: int, lanes: int) -> bytes:
 
 
 def _majority(parts, lanes: int) -> bytes:
-    total, counts = 0, np.zeros((lanes, 64), np.int64)
+    total, counts = 0, np.zeros(64 * lanes, np.int64)
     for hashes in parts:
         total += len(hashes)
-        for start in range(0, len(hashes), 1 << 14):
-            some = hashes[start : start + (1 << 14)]
-            for lane in range(lanes):
-                octets = _lane(some, lane).astype(">u8").view(np.uint8).reshape(-1, 8)
-                counts[lane] += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits((2 * counts > total).ravel()).tobytes()
+        for start in range(0, len(hashes), 255):  # a count fits into a byte
+            octets = _lanes(hashes[start : start + 255], lanes).astype(">u8").view(np.uint8)
+            counts += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > total).tobytes()
 
 
 # buckets
@@ -119,7 +120,7 @@ def sampled_tables(bits: int, nodes: int, agreement: float, found: float = 0.97,
     A pair of which each bit agrees with probability ``agreement`` is found with
     probability ``found`` at least; more alike pairs with more.
     """
-    length = max(12, math.ceil(math.log2(max(nodes, 2) / 64)))
+    length = max(12, math.ceil(math.log2(max(nodes, 2) / BUCKET)))
     tables = math.ceil(math.log(1 - found) / math.log(1 - agreement**length))
     rng = np.random.default_rng(seed)
     return [tuple(int(b) for b in rng.choice(bits, length, replace=False)) for _ in range(tables)]
@@ -133,65 +134,36 @@ def _keys(prints: list[bytes], tables: list[tuple[int, ...]]) -> np.ndarray:
 # comparison
 
 
-def bit_planes(bits: np.ndarray) -> np.ndarray:
-    """(bits, words) of uint64 from (nodes, bits): node n is one bit in word n // 64 of every plane."""
-    nodes = len(bits)
-    padded = np.zeros((bits.shape[1], -(-nodes // 64) * 64), np.uint8)
-    padded[:, :nodes] = bits.T
-    return np.packbits(padded, axis=1).view(np.uint64)
-
-
-def within(planes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
-    """Bits (queries, words): which nodes are within the radius of which query."""
-    depth = (radius + 1).bit_length()
-    flips = np.where(queries.T.astype(bool), _ALL, np.uint64(0))
-    shape = (len(queries), planes.shape[1])
-    counters = [np.zeros(shape, np.uint64) for _ in range(depth)]
-    over = np.zeros(shape, np.uint64)
-
-    def exceeding() -> np.ndarray:
-        more, equal = over.copy(), ~over
-        for level in range(depth - 1, -1, -1):
-            if radius >> level & 1:
-                equal &= counters[level]
-            else:
-                more |= equal & counters[level]
-                equal &= ~counters[level]
-        return more
-
-    for plane in range(0, len(planes), 2):
-        a = planes[plane] ^ flips[plane][:, None]
-        b = planes[plane + 1] ^ flips[plane + 1][:, None]
-        # a full adder takes two planes at once and passes one carry on
-        half = counters[0] ^ a
-        carry = (counters[0] & a) | (half & b)
-        counters[0] = half ^ b
-        for level in range(1, depth):
-            counters[level], carry = counters[level] ^ carry, counters[level] & carry
-        over |= carry
-        if plane % 32 == 30 and (exceeding() == _ALL).all():
-            return np.zeros(shape, np.uint64)
-    return ~exceeding()
-
-
-def _hits(planes: np.ndarray, bits: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    found = within(planes, bits[queries], radius)
-    at, node = np.nonzero(np.unpackbits(found.view(np.uint8), axis=1)[:, : len(bits)])
-    return queries[at], node
-
-
-def linked(prints: np.ndarray, radius: int, block: int = 256) -> np.ndarray:
+def _columns(prints: np.ndarray) -> np.ndarray:
+    """(words, nodes) of uint64 from (nodes, bytes): word after word, each of all nodes."""
+    short = -prints.shape[1] % 8
+    padded = np.pad(prints, ((0, 0), (0, short))) if short else np.ascontiguousarray(prints)
+    return np.ascontiguousarray(padded.view(np.uint64).T)
+
+
+def within(columns: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
+    """(queries, nodes): which nodes are within the radius of which query, given the columns of both."""
+    apart = np.zeros((queries.shape[1], columns.shape[1]), np.uint16)
+    for word, (own, other) in enumerate(zip(queries, columns), 1):
+        apart += np.bitwise_count(own[:, None] ^ other)
+        # half of the bits of unrelated ones differ
+        if word < len(columns) and 32 * word > radius and apart.size and apart.min() > radius:
+            return np.zeros(apart.shape, bool)
+    return apart <= radius
+
+
+def linked(prints: np.ndarray, radius: int, dense: int = 512) -> np.ndarray:
     """For each fingerprint (rows of bytes) the first one of its group of links.
 
     A dense group is peeled off first: as all of its members are compared with
     what is left, the rest can be compared without it.
     """
-    bits = np.unpackbits(prints, axis=1)
-    group = np.arange(len(bits))
-    left = np.arange(len(bits))
-    while len(left) > 2 * block:
-        own, planes = bits[left], bit_planes(bits[left])
-        _, near = _hits(planes, own, np.zeros(1, np.int64), radius)
+    columns = _columns(prints)
+    group = np.arange(len(prints))
+    left = np.arange(len(prints))
+    while len(left) > dense:
+        own = columns[:, left]
+        near = np.flatnonzero(within(own, own[:, :1], radius))
         if len(near) < len(left) // 8:
             break
         member = np.zeros(len(left), bool)
@@ -199,21 +171,26 @@ def linked(prints: np.ndarray, radius: int, block: int = 256) -> np.ndarray:
         queue = near
         while len(queue) and not member.all():
             rest = np.flatnonzero(~member)
-            rest_bits = own[rest]
-            found = within(bit_planes(rest_bits), own[queue[:block]], radius)
-            new = rest[np.unpackbits(found.view(np.uint8), axis=1)[:, : len(rest)].any(axis=0)]
+            block = max(1, CELLS // len(rest))
+            new = rest[within(own[:, rest], own[:, queue[:block]], radius).any(axis=0)]
             member[new] = True
             queue = np.concatenate([queue[block:], new])
         group[left[member]] = left[member].min()
         left = left[~member]
-    own, planes = bits[left], bit_planes(bits[left]) if len(left) else None
-    pairs = [_hits(planes, own, q, radius) for q in np.array_split(np.arange(len(left)), -(-len(left) // block) or 1) if len(q)]
+    own, pairs, start = columns[:, left], [], 0
+    while start < len(left) - 1:  # each pair once: a query meets those behind it
+        block = max(1, CELLS // (len(left) - start))
+        at, node = np.nonzero(np.triu(within(own[:, start + 1 :], own[:, start : start + block], radius)))
+        if len(at):
+            pairs.append((start + at, start + 1 + node))
+        start += block
     if pairs:
         a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
         label = np.arange(len(left))
         while True:
             new = label.copy()
             np.minimum.at(new, a, label[b])
+            np.minimum.at(new, b, label[a])
             new = new[new]
             if (new == label).all():
                 break
@@ -222,27 +199,27 @@ def linked(prints: np.ndarray, radius: int, block: int = 256) -> np.ndarray:
     return group
 
 
-def _bucket_links(batches, radius: int):
+def _bucket_links(batches, radius: int, gathered: int = 128):
     """Links (a, b) of nodes from rows of buckets; small buckets are compared together."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch["nodes"]).to_numpy(zero_copy_only=False))
+        nodes, prints = batch["nodes"].flatten().to_numpy(), _print_bytes(batch["prints"].flatten())
+        first, begin = np.arange(len(nodes)), 0
+        for end in ends:
+            if end - begin >= gathered or end == len(nodes):
+                first[begin:end] = begin + linked(prints[begin:end], radius)
+                begin = end
+        a, b = nodes, nodes[first]
+        a, b = a[a != b], b[a != b]
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
-    def links(nodes: list[int], prints: list[bytes]):
-        first = linked(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1), radius)
-        ids = np.array(nodes, np.int64)
-        a, b = ids, ids[first]
-        return a[a != b], b[a != b]
 
-    for batch in batches:
-        out, nodes, prints = [], [], []
-        for ids, fps in zip(batch["nodes"].to_pylist(), batch["prints"].to_pylist()):
-            nodes += ids
-            prints += fps
-            if len(nodes) >= 512:
-                out.append(links(nodes, prints))
-                nodes, prints = [], []
-        if nodes:
-            out.append(links(nodes, prints))
-        for a, b in out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+def _print_bytes(prints: pa.Array) -> np.ndarray:
+    """(nodes, bytes) of fingerprints of one length."""
+    width = len(prints[0].as_py()) if len(prints) else 8
+    fixed = prints.cast(pa.binary(width))
+    held = np.frombuffer(fixed.buffers()[1] or b"", np.uint8)
+    return held[fixed.offset * width : (fixed.offset + len(fixed)) * width].reshape(len(fixed), width)
 
 
 def links(work: Work, nodes: DataFrame, tables: list[tuple[int, ...]], radius: int, tile: int = TILE) -> DataFrame:
@@ -272,7 +249,7 @@ def links(work: Work, nodes: DataFrame, tables: list[tuple[int, ...]], radius: i
         .select(F.col("members.node").alias("nodes"), F.col("members.print").alias("prints"))
     )
     found = buckets.mapInArrow(lambda batches: _bucket_links(batches, radius), "a long, b long")
-    return found.distinct()
+    return work.staged(found.distinct(), "near", rows_per_batch=64)  # a row is a bucket
 
 
 def components(work: Work, edges: DataFrame) -> DataFrame:

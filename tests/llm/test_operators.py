@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -103,6 +104,22 @@ def test_bpe_stitches_random_texts(spark):
     assert found == {i: encoding.encode_ordinary(t) for i, t in cases}
 
 
+def test_texts_are_encoded_once(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    found = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("ids", F.size("ids"), bpe.decoded("ids", RANKS))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ids_of(") == 1
+
+
+def test_bytes_of_lists_of_ids():
+    rng = random.Random(3)
+    lists = [rng.choice([None, [], [rng.randrange(50_000) for _ in range(rng.randrange(9))]]) for _ in range(60)]
+    tokens = bpe._token_bytes(RANKS).to_pylist()
+    want = [b"".join(tokens[i] for i in ids or ()) for ids in lists]
+    given = pa.array(lists, pa.list_(pa.int32()))
+    for part in (slice(0, 60), slice(7, 40), slice(5, 5)):
+        assert bpe._joined_bytes(given[part], RANKS).to_pylist() == want[part]
+
+
 def test_bpe_pieces_start_where_chunks_agree():
     assert bpe.stitched([[0], [5, 9], [], [30]], [[7, 9], [11], [30], []]) == [(0, 0), (1, 9), (1, -1), (1, -1)]
 
@@ -312,6 +329,34 @@ def test_bit_slices_link_what_pairs_would():
         assert (simhash.linked(prints, 20) == label).all()
 
 
+def test_links_of_buckets_are_those_of_their_pairs():
+    rng = np.random.default_rng(1)
+    sizes = [2, 60, 300, 2, 2, 700, 3]
+    held, want, nodes = [], set(), 0
+    for size in sizes:
+        prints = rng.integers(0, 256, (size, 64), dtype=np.uint8)
+        for row in range(1, size, 2):  # a copy with up to 120 flipped bits, in a pair with the row before
+            flipped = rng.choice(512, rng.integers(0, 121), replace=False)
+            bits = np.unpackbits(prints[row - 1])
+            bits[flipped] ^= 1
+            prints[row] = np.packbits(bits)
+            want.add((nodes + row, nodes + row - 1))
+        held.append((list(range(nodes, nodes + size)), [p.tobytes() for p in prints]))
+        nodes += size
+    batch = pa.RecordBatch.from_pydict({"nodes": [n for n, _ in held], "prints": [p for _, p in held]})
+    for rows in (1, 2, len(sizes)):
+        found = simhash._bucket_links([batch.slice(at, rows) for at in range(0, len(sizes), rows)], 120)
+        assert {(a, b) for part in found for a, b in zip(part["a"].to_pylist(), part["b"].to_pylist())} == want
+
+
+def test_more_nodes_do_not_need_many_more_tables():
+    for nodes, most in ((200_000, 50), (2_400_000, 50), (30_000_000, 100)):  # 64 nodes a bucket took 50, 123, 242
+        tables = simhash.sampled_tables(512, nodes, 0.8)
+        assert len(tables) <= most
+        assert 1 - (1 - 0.8 ** len(tables[0])) ** len(tables) >= 0.97
+        assert nodes / 2 ** len(tables[0]) <= simhash.TILE
+
+
 def test_no_pair_within_the_radius_misses_a_block():
     random.seed(7)
     tables = simhash.block_tables(64, 2)
